@@ -10,8 +10,12 @@ from staylens.operators.messages import conversation_log, is_delayed, seconds_be
 from staylens.sources.schemas import EXIT_INTENTS
 
 CONVERSATION_KEYS = ["conversation_id", "booking_id", "user_id", "host_id", "property_id"]
+# Constant within a conversation. Grouping by them, rather than picking any value, keeps text out
+# of the aggregation buffers, so the counts run as a hash aggregation.
+CONVERSATION_ATTRIBUTES = ["conversation_channel", "conversation_status", "csat_score"]
 CHUNK_MESSAGES = 100_000
 ARROW = " -> "
+OPENED = "opened_by_guest"
 
 
 def _joined(column: str, order: str) -> Column:
@@ -34,11 +38,8 @@ def conversation_journeys(log: DataFrame, chunk_messages: int = CHUNK_MESSAGES)
     chunk = F.floor((F.col("message_seq") - 1) / chunk_messages)
     chunks = (
         log.withColumn("_chunk", chunk)
-        .groupBy(*CONVERSATION_KEYS, "_chunk")
+        .groupBy(*CONVERSATION_KEYS, *CONVERSATION_ATTRIBUTES, "_chunk")
         .agg(
-            _known("conversation_channel").alias("conversation_channel"),
-            _known("conversation_status").alias("conversation_status"),
-            _known("csat_score").alias("csat_score"),
             _known("intent_category").alias("intent"),
             F.max("conversation_message_count").alias("messages"),
             F.min("sent_at").alias("started"),
@@ -46,7 +47,7 @@ def conversation_journeys(log: DataFrame, chunk_messages: int = CHUNK_MESSAGES)
             _joined("event_label", "message_seq").alias("events"),
             _joined("sentiment_label", "message_seq").alias("moods"),
             F.count("event_label").alias("labels"),
-            F.max(F.when(F.col("is_first_message"), F.col("event_label"))).alias("first_label"),
+            F.max(F.when(F.col("is_first_message") & (F.col("event_label") == OPENED), 1).otherwise(0)).alias("opened"),
             F.sum("sentiment_score").alias("sentiment_sum"),
             F.count("sentiment_score").alias("sentiment_n"),
             F.max(F.when(F.col("is_first_message"), F.col("sentiment_score"))).alias("opening"),
@@ -60,13 +61,10 @@ def conversation_journeys(log: DataFrame, chunk_messages: int = CHUNK_MESSAGES)
         )
     )
     labels = F.sum("labels")
-    opened_only = F.coalesce(F.max("first_label") == "opened_by_guest", F.lit(False)) & (labels == 1)
+    opened_only = (F.max("opened") == 1) & (labels == 1)
     return (
-        chunks.groupBy(*CONVERSATION_KEYS)
+        chunks.groupBy(*CONVERSATION_KEYS, *CONVERSATION_ATTRIBUTES)
         .agg(
-            _known("conversation_channel").alias("conversation_channel"),
-            _known("conversation_status").alias("conversation_status"),
-            _known("csat_score").alias("csat_score"),
             _known("intent").alias("conversation_primary_intent"),
             F.max("messages").alias("conversation_message_count"),
             F.min("started").alias("conversation_started_at"),
@@ -103,19 +101,17 @@ def recent_journeys(
     cut is dropped whole, so the remaining ones are complete.
     """
     starts = messages.groupBy("conversation_id").agg(F.min("sent_at").alias("_started"))
-    known = conversations.select("conversation_id")
-    latest = starts.join(known, "conversation_id", "left_semi").agg(F.max("_started").alias("latest"))
-    bound = latest.select((F.col("latest") - F.expr(f"INTERVAL '{months}' MONTH")).alias("cut"))
+    timed = conversations.join(starts, "conversation_id")
+    bound = timed.agg((F.max("_started") - F.expr(f"INTERVAL '{months}' MONTH")).alias("cut"))
     heavy = heavy_keys(messages, "conversation_id", limit=limit)["conversation_id"]
     if heavy:
         # Cutting heavy conversations reads the messages several times: settle the bound first.
         cut = F.lit(str(bound.first()["cut"])).cast(messages.schema["sent_at"].dataType)
     else:
         cut = bound.scalar()
-    in_scope = starts.filter(F.col("_started") >= cut).select("conversation_id")
     log = conversation_log(
         messages.filter(F.col("sent_at") >= cut),
-        conversations.join(in_scope, "conversation_id", "left_semi"),
+        timed.filter(F.col("_started") >= cut),
         limit=limit,
         heavy=heavy,
     )

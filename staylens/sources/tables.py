@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,10 @@ FLOAT_PLACES = {
 }
 
 
-@dataclass(frozen=True)
 class SourceTables:
-    """The staged source tables, one DataFrame each."""
+    """The staged source tables. Each one is opened when it is first used."""
+
+    NAMES = ("users", "hosts", "properties", "bookings", "conversations", "messages")
 
     users: DataFrame
     hosts: DataFrame
@@ -31,8 +33,18 @@ class SourceTables:
     conversations: DataFrame
     messages: DataFrame
 
+    def __init__(self, **opened_by: Callable[[], DataFrame]) -> None:
+        self._opened_by = opened_by
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise AttributeError(name)
+        df = self._opened_by[name]()
+        setattr(self, name, df)
+        return df
+
     def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in self.NAMES}
 
 
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -65,14 +77,19 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def read_sources(spark: SparkSession, root: str) -> SourceTables:
-    return SourceTables(
-        users=stage(read_source(spark, root, "dim_users")),
-        hosts=stage(read_source(spark, root, "dim_hosts")),
-        properties=stage(read_source(spark, root, "dim_properties")),
-        bookings=stage(read_source(spark, root, "fact_bookings")),
-        conversations=stage(read_source(spark, root, "dim_conversations")),
-        messages=stage(read_source(spark, root, "fact_chat_messages")),
-    )
+    files = {
+        "users": "dim_users",
+        "hosts": "dim_hosts",
+        "properties": "dim_properties",
+        "bookings": "fact_bookings",
+        "conversations": "dim_conversations",
+        "messages": "fact_chat_messages",
+    }
+    return SourceTables(**{name: partial(_read_staged, spark, root, file) for name, file in files.items()})
+
+
+def _read_staged(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return stage(read_source(spark, root, name))
 
 
 def register_staging_views(tables: SourceTables, prefix: str = "stg_") -> list[str]:
