@@ -8,7 +8,7 @@ from staylens.operators import loss
 from staylens.sources.schemas import EVENT_PATTERNS
 
 JOURNEY = (
-    "conversation_id int, booking_id int, user_id int, conversation_channel string, csat_score int, "
+    "conversation_id int, booking_id int, user_id int, conversation_channel string, conversation_status string, csat_score int, "
     "conversation_primary_intent string, conversation_message_count bigint, conversation_started_at timestamp_ntz, "
     "opening_sentiment double, closing_sentiment double, negative_msg_count bigint, escalation_handoff_count bigint, "
     "delayed_reply_count bigint, is_unanswered_opening boolean, sentiment_delta double"
@@ -18,7 +18,7 @@ JOURNEY = (
 def journey(id, booking=1, user=1, channel="email", csat=5, intent="general_inquiry", n=3, at=f.START, opening=0.0,
             closing=0.0, negatives=0, handoffs=0, delays=0, unanswered=False, delta=None):
     delta = closing - opening if delta is None else delta
-    return (id, booking, user, channel, csat, intent, n, at, opening, closing, negatives, handoffs, delays, unanswered, delta)
+    return (id, booking, user, channel, "resolved", csat, intent, n, at, opening, closing, negatives, handoffs, delays, unanswered, delta)
 
 
 def journeys(spark, *rows):
