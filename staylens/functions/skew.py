@@ -9,11 +9,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_TASK_CONF = "spark.staylens.rowsPerTask"
 ROWS_PER_TASK = 1_000_000
-MAX_HEAVY_KEYS = 1_000
-SKETCH_ENTRIES = 10_000
+MAX_HEAVY_KEYS = 10_000
+SKETCH_ENTRIES = 100_000
 MAX_WAYS = 2_000
 
 
@@ -31,18 +32,16 @@ def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[s
 
     One pass builds a frequent-items sketch per column inside the tasks, so nothing is shuffled by
     key. Only when the sketch names candidates does a second pass count those exactly. A key the
-    sketch cannot see holds less than about 1/1000 of the rows, which is no hot task.
+    sketch does not report holds less than about 1/10,000 of the rows, which is no hot task.
     """
     limit = limit or rows_per_task(df.sparkSession)
+    sketch = "filter(approx_top_k(`{c}`, {k}, {n}), i -> i.item IS NOT NULL AND i.count > {limit})"
     top = df.agg(
-        F.count("*").alias("rows"),
-        *[F.expr(f"approx_top_k(`{c}`, {MAX_HEAVY_KEYS}, {SKETCH_ENTRIES})").alias(c) for c in columns],
+        *[F.expr(sketch.format(c=c, k=MAX_HEAVY_KEYS, n=SKETCH_ENTRIES, limit=limit)).alias(c) for c in columns]
     ).first()
     heavy: dict[str, dict] = {c: {} for c in columns}
-    if top["rows"] <= limit:
-        return heavy
     for c in columns:
-        candidates = [i["item"] for i in top[c] or [] if i["item"] is not None and i["count"] > limit]
+        candidates = [i["item"] for i in top[c] or []]
         if candidates:
             counted = df.filter(F.col(c).isin(candidates)).groupBy(c).count().filter(F.col("count") > limit)
             heavy[c] = {r[c]: r["count"] for r in counted.collect()}
@@ -54,18 +53,21 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join of a large side with a side that is unique on `key`.
 
-    Rows of a heavy key are dealt out over several salts by a hash of `spread_by`; the single
-    matching row of the other side is repeated once per salt. Without heavy keys this is the
-    plain join and Spark chooses between broadcast and sort-merge by size.
+    Rows of a heavy key are dealt out over as many salts as its rows need, by a hash of
+    `spread_by`; the single matching row of the other side is repeated once per salt. Without heavy
+    keys this is the plain join and Spark chooses between broadcast and sort-merge by size.
     """
     if not heavy:
         return many.join(one, key, how)
-    limit = rows_per_task(many.sparkSession)
-    n = max(ways(rows, limit) for rows in heavy.values())
-    hot = F.col(key).isin(list(heavy))
-    many = many.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(spread_by), F.lit(n))).otherwise(F.lit(0).cast("bigint")))
-    copies = F.when(hot, F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).otherwise(
-        F.array(F.lit(0).cast("bigint"))
+    spark = many.sparkSession
+    limit = rows_per_task(spark)
+    salts = F.broadcast(
+        spark.createDataFrame(
+            [(k, ways(rows, limit)) for k, rows in heavy.items()],
+            T.StructType([T.StructField(key, many.schema[key].dataType), T.StructField("_salts", T.LongType())]),
+        )
     )
-    one = one.withColumn("_salt", F.explode(copies))
+    n = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    many = many.join(salts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), n)).drop("_salts")
+    one = one.join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))).drop("_salts")
     return many.join(one, [key, "_salt"], how).drop("_salt")

@@ -13,13 +13,13 @@ SUPPORT = "support_agent"
 
 
 def _clock_second(at: str) -> Column:
-    elapsed = F.col(at) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.floor(elapsed.cast("interval second").cast("decimal(20,6)"))
+    # Counted from year 1, where cutting off the fraction always rounds down.
+    return (F.col(at) - F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")).cast("bigint")
 
 
 def seconds_between(start: str, end: str) -> Column:
     """Number of second boundaries crossed from start to end, in any session time zone."""
-    return (_clock_second(end) - _clock_second(start)).cast("bigint")
+    return _clock_second(end) - _clock_second(start)
 
 
 def is_delayed() -> Column:
