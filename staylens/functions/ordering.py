@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.functions.pin import pin
-from staylens.functions.skew import rows_per_task, ways
+from staylens.functions.skew import key_table, rows_per_task, ways
 
 BLOCK = 64
 SALTS = 256
@@ -69,15 +69,15 @@ def _slot(x: Column) -> Column:
 
 
 def _with_segments(df: DataFrame, group: str, order: Sequence[str], heavy: dict, limit: int) -> DataFrame:
-    """Add `_seg`: 0 for light groups, else a number that rises along the sort order of the group."""
+    """Add `_seg`: 0 for light groups, else a positive number that rises along the sort order of the group."""
     value, tiebreak = order
-    hot = df.filter(F.col(group).isin(list(heavy)))
+    hot = df.join(F.broadcast(key_table(df, group, list(heavy))), group, "left_semi")
     cuts = _cut_points(hot, [group], value, heavy, limit)
 
     def add_slot(rows: DataFrame) -> DataFrame:
         return (
             rows.join(F.broadcast(cuts), group, "left")
-            .withColumn("_slot", F.when(F.col("ends").isNotNull(), _slot(F.col(value))).otherwise(F.lit(0).cast("bigint")))
+            .withColumn("_slot", F.when(F.col("ends").isNotNull(), _slot(F.col(value)) + 2).otherwise(F.lit(0).cast("bigint")))
             .drop("ends", "blocks")
         )
 
@@ -134,11 +134,11 @@ def ordered_scan(
     keys = [group, "_seg"]
     nulls_last = F.struct(F.col(order[0]).isNull(), F.col(order[0]), F.col(order[1]))
     segments = (
-        df.filter(F.col(group).isin(list(heavy)))
+        df.filter(F.col("_seg") > 0)
         .groupBy(*keys)
         .agg(F.count("*").alias("_rows"), *[F.max_by(c, nulls_last).alias(f"_last_{c}") for c in lags])
     )
-    # One row per segment of a heavy group: at most MAX_HEAVY_KEYS groups of a few thousand segments.
+    # One row per segment of a heavy group: about one per `limit` rows of the table.
     along = Window.partitionBy(group).orderBy("_seg")
     seams = segments.select(
         *keys,

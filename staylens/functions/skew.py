@@ -27,6 +27,12 @@ def ways(rows: int, limit: int) -> int:
     return max(2, min(MAX_WAYS, math.ceil(rows / limit)))
 
 
+def key_table(df: DataFrame, column: str, values: list) -> DataFrame:
+    """A one-column table of at most MAX_HEAVY_KEYS values, typed like the column of df."""
+    schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
+    return df.sparkSession.createDataFrame([(v,) for v in values], schema)
+
+
 def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[str, dict]:
     """Per column, the values that occur on more than `limit` rows, with their row counts.
 
@@ -43,7 +49,8 @@ def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[s
     for c in columns:
         candidates = [i["item"] for i in top[c] or []]
         if candidates:
-            counted = df.filter(F.col(c).isin(candidates)).groupBy(c).count().filter(F.col("count") > limit)
+            named = df.join(F.broadcast(key_table(df, c, candidates)), c, "left_semi")
+            counted = named.groupBy(c).count().filter(F.col("count") > limit)
             heavy[c] = {r[c]: r["count"] for r in counted.collect()}
     return heavy
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.sources.schemas import CONVERSATION_CHANNELS, INTENTS, LANGUAGES
+from staylens.sources.schemas import BOOKING_CHANNELS, CONVERSATION_CHANNELS, INTENTS, LANGUAGES
 from staylens.sources.tables import SourceTables
 
 # The columns read from each table; naming their types spares a look into the files per query.
@@ -22,161 +22,133 @@ STAR_COLUMNS = {
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
     "nation": "n_nationkey INT, n_name STRING",
 }
-EPOCH = "2000-01-01 00:00:00"
-LOADED = "2002-01-01 06:00:00"
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def _pick(values: list[str], index: str) -> str:
+    return f"get(array({', '.join(repr(v) for v in values)}), CAST({index} AS INT))"
 
 
-def _seconds_after(start: str, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("int"), F.lit(start).cast("timestamp_ntz"))
+def _thread_time(key: str, slot: str, extra: str = "0") -> str:
+    seconds = f"({key} * 37 % 731) * 86400 + {key} * 7919 % 80000 + {slot} * 86400 + {extra}"
+    return f"timestampadd(SECOND, CAST({seconds} AS INT), TIMESTAMP_NTZ '2000-01-01 00:00:00')"
 
 
-def _thread_start(order_key: Column, slot: Column) -> Column:
-    day = order_key * 37 % 731
-    second = order_key * 7919 % 80000
-    return day * 86400 + second + slot * 86400
-
-
-def _intent(order_key: Column, slot: Column) -> Column:
-    return _pick(INTENTS, (order_key + slot * 5) % 16)
-
-
-def _message_text(sender: Column, line: Column, part: Column) -> Column:
-    return F.concat(sender, F.lit(" note "), line.cast("string"), F.lit(" on part "), part.cast("string"))
+def _loaded(key: str) -> str:
+    return f"timestampadd(HOUR, -CAST({key} % 24 AS INT), TIMESTAMP_NTZ '2002-01-01 06:00:00')"
 
 
 def users(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    tier = F.create_map(
-        *[
-            F.lit(v)
-            for v in (
-                "AUTOMOBILE", "silver", "BUILDING", "gold", "MACHINERY", "platinum", "FURNITURE", "none",
-            )
-        ]
-    )
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("full_name"),
-        F.col("n_name").alias("country"),
-        F.date_add(F.lit("1999-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int")).alias("signup_date"),
-        F.element_at(tier, F.col("c_mktsegment")).alias("loyalty_tier"),
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS full_name",
+        "n_name AS country",
+        "date_add(DATE '1999-01-01', CAST(c_custkey % 365 AS INT)) AS signup_date",
+        "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'silver' WHEN 'BUILDING' THEN 'gold' WHEN 'MACHINERY' THEN 'platinum'"
+        " WHEN 'FURNITURE' THEN 'none' END AS loyalty_tier",
     )
 
 
 def hosts(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
-        F.col("s_suppkey").alias("host_id"),
-        F.col("s_name").alias("host_name"),
-        F.col("n_name").alias("country"),
-        ((F.col("s_suppkey") % 81 + 20).cast("double") / 100).alias("response_rate"),
-        (F.col("s_suppkey") % 5 == 0).alias("is_superhost"),
+    return supplier.join(nation, F.expr("s_nationkey = n_nationkey"), "left").selectExpr(
+        "s_suppkey AS host_id",
+        "s_name AS host_name",
+        "n_name AS country",
+        "CAST(s_suppkey % 81 + 20 AS DOUBLE) / 100 AS response_rate",
+        "s_suppkey % 5 = 0 AS is_superhost",
     )
 
 
 def properties(part: DataFrame, host_count: Column) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").alias("property_id"),
-        (F.col("p_partkey") % host_count).alias("host_id"),
-        F.col("p_name").alias("property_name"),
-        F.col("p_type").alias("property_type"),
-        F.col("p_brand").alias("city"),
-        F.lit(None).cast("string").alias("country"),
-        (F.col("p_size") % 5 + 1).alias("bedrooms"),
-        F.col("p_retailprice").alias("price_per_night"),
-        ((F.col("p_partkey") % 26).cast("double") / 10 + 2.5).alias("rating"),
-        (F.col("p_partkey") % 800).alias("review_count"),
+    return part.withColumn("host_id", F.col("p_partkey") % host_count).selectExpr(
+        "p_partkey AS property_id",
+        "host_id",
+        "p_name AS property_name",
+        "p_type AS property_type",
+        "p_brand AS city",
+        "CAST(NULL AS STRING) AS country",
+        "p_size % 5 + 1 AS bedrooms",
+        "p_retailprice AS price_per_night",
+        "CAST(p_partkey % 26 AS DOUBLE) / 10 + 2.5D AS rating",
+        "p_partkey % 800 AS review_count",
     )
 
 
+def _with_property(orders: DataFrame, property_count: Column, host_count: Column) -> DataFrame:
+    place = F.col("o_orderkey") % property_count
+    return orders.withColumns({"property_id": place, "host_id": place % host_count})
+
+
 def bookings(orders: DataFrame, property_count: Column, host_count: Column) -> DataFrame:
-    key = F.col("o_orderkey")
-    status = F.col("o_orderstatus")
-    created = F.col("o_orderdate").cast("date")
-    checkin = F.date_add(created, (key % 60 + 1).cast("int"))
-    nights = (key % 13 + 1).cast("int")
-    return orders.select(
-        key.alias("booking_id"),
-        (key % property_count).alias("property_id"),
-        (key % property_count % host_count).alias("host_id"),
-        F.col("o_custkey").alias("user_id"),
-        created.alias("booking_created_at"),
-        checkin.alias("checkin_date"),
-        F.date_add(checkin, nights).alias("checkout_date"),
-        nights.alias("nights"),
-        F.when(status == "F", "completed").when(status == "O", "confirmed").otherwise("cancelled").alias("status"),
-        _pick(["web", "ios", "android"], key % 3).alias("channel"),
-        F.col("o_totalprice").alias("total_price"),
+    checkin = "date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 60 + 1 AS INT))"
+    nights = "CAST(o_orderkey % 13 + 1 AS INT)"
+    return _with_property(orders, property_count, host_count).selectExpr(
+        "o_orderkey AS booking_id",
+        "property_id",
+        "host_id",
+        "o_custkey AS user_id",
+        "CAST(o_orderdate AS DATE) AS booking_created_at",
+        f"{checkin} AS checkin_date",
+        f"date_add({checkin}, {nights}) AS checkout_date",
+        f"{nights} AS nights",
+        "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'confirmed' ELSE 'cancelled' END AS status",
+        f"{_pick(BOOKING_CHANNELS, 'o_orderkey % 3')} AS channel",
+        "o_totalprice AS total_price",
     )
 
 
 def conversations(orders: DataFrame, property_count: Column, host_count: Column) -> DataFrame:
     """Two thirds of the bookings have a thread; every seventh of those has a second one."""
-    key = F.col("o_orderkey")
-    slot = F.col("slot")
-    first_response = key * 53 % 7171 + 30
-    return (
-        orders.filter(key % 3 != 0)
-        .withColumn("slot", F.explode(F.when(key % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-        .select(
-            (key * 10 + slot).alias("conversation_id"),
-            key.alias("booking_id"),
-            F.col("o_custkey").alias("user_id"),
-            (key % property_count % host_count).alias("host_id"),
-            (key % property_count).alias("property_id"),
-            _pick(CONVERSATION_CHANNELS, key % 23 % 4).alias("channel"),
-            _intent(key, slot).alias("intent_category"),
-            F.when(key % 10 < 7, "resolved").when(key % 10 < 9, "open").otherwise("escalated").alias("status"),
-            _seconds_after(EPOCH, _thread_start(key, slot)).alias("opened_at"),
-            F.when(key % 11 != 0, key % 5 + 1).cast("int").alias("csat_score"),
-            first_response.cast("int").alias("first_response_time_seconds"),
-            (first_response + 60 + key * 97 % 86311).cast("int").alias("resolution_time_seconds"),
-            (key % 10 < 4).alias("is_support"),
-            _seconds_after(LOADED, -(key % 24) * 3600).alias("generated_at"),
-        )
+    threads = F.expr("explode(if(o_orderkey % 7 = 0, array(0, 1), array(0)))")
+    linked = orders.filter("o_orderkey % 3 <> 0").withColumn("slot", threads)
+    return _with_property(linked, property_count, host_count).selectExpr(
+        "o_orderkey * 10 + slot AS conversation_id",
+        "o_orderkey AS booking_id",
+        "o_custkey AS user_id",
+        "host_id",
+        "property_id",
+        f"{_pick(CONVERSATION_CHANNELS, 'o_orderkey % 23 % 4')} AS channel",
+        f"{_pick(INTENTS, '(o_orderkey + slot * 5) % 16')} AS intent_category",
+        "CASE WHEN o_orderkey % 10 < 7 THEN 'resolved' WHEN o_orderkey % 10 < 9 THEN 'open' ELSE 'escalated' END AS status",
+        f"{_thread_time('o_orderkey', 'slot')} AS opened_at",
+        "CAST(CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 5 + 1 END AS INT) AS csat_score",
+        "CAST(o_orderkey * 53 % 7171 + 30 AS INT) AS first_response_time_seconds",
+        "CAST(o_orderkey * 53 % 7171 + 90 + o_orderkey * 97 % 86311 AS INT) AS resolution_time_seconds",
+        "o_orderkey % 10 < 4 AS is_support",
+        f"{_loaded('o_orderkey')} AS generated_at",
     )
 
 
 def messages(lineitem: DataFrame) -> DataFrame:
-    key = F.col("l_orderkey")
-    line = F.col("l_linenumber")
-    quantity = F.col("l_quantity").cast("int")
-    mood = F.round(F.col("l_discount") * 100).cast("int")
-    slot = F.when((key % 7 == 0) & (line > 4), 1).otherwise(0)
+    slot = "if(l_orderkey % 7 = 0 AND l_linenumber > 4, 1, 0)"
+    quantity = "CAST(l_quantity AS INT)"
+    mood = "CAST(round(l_discount * 100) AS INT)"
     sender = (
-        F.when((line == 1) | (F.col("l_returnflag") == "A"), "guest")
-        .when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), "host")
-        .when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), "bot")
-        .otherwise("support_agent")
+        "CASE WHEN l_linenumber = 1 OR l_returnflag = 'A' THEN 'guest'"
+        " WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'host'"
+        " WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'bot' ELSE 'support_agent' END"
     )
-    day = F.date_diff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     # Lines carry no key of their own: tell the lines of an order apart by what is on them.
     fingerprint = (
-        F.col("l_partkey") * 7919
-        + F.col("l_suppkey") * 104729
-        + quantity * 1299709
-        + cents * 31
-        + day.cast("bigint") * 15485863
-        + line.cast("bigint") * 179424673
-    ) % 39999983
-    text = _message_text(sender, line, F.col("l_partkey"))
-    return lineitem.filter(key % 3 != 0).select(
-        (key * 40000000 + fingerprint).alias("message_id"),
-        (key * 10 + slot).alias("conversation_id"),
-        sender.alias("sender_type"),
-        F.when(sender == "guest", key % 1000).otherwise(F.col("l_suppkey")).alias("sender_id"),
-        _seconds_after(EPOCH, _thread_start(key, slot) + (line - 1) * 450 + quantity * 10).alias("sent_at"),
-        text.alias("text"),
-        _intent(key, slot).alias("intent_category"),
-        ((mood - 5).cast("double") / 5.5).alias("sentiment_score"),
-        F.when(mood >= 7, "positive").when(mood <= 3, "negative").otherwise("neutral").alias("sentiment_label"),
-        _pick(LANGUAGES, F.col("l_suppkey") % 6).alias("language"),
-        F.when(line == 1, 0).otherwise(quantity * 20).alias("response_latency_seconds"),
-        F.length(text).alias("message_length"),
-        _seconds_after(LOADED, -(key % 24) * 3600).alias("generated_at"),
+        "(l_partkey * 7919 + l_suppkey * 104729 + CAST(l_quantity AS BIGINT) * 1299709"
+        " + CAST(round(l_extendedprice * 100) AS BIGINT) * 31"
+        " + CAST(date_diff(CAST(l_shipdate AS DATE), DATE '1990-01-01') AS BIGINT) * 15485863"
+        " + CAST(l_linenumber AS BIGINT) * 179424673) % 39999983"
+    )
+    text = f"concat({sender}, ' note ', l_linenumber, ' on part ', l_partkey)"
+    return lineitem.filter("l_orderkey % 3 <> 0").selectExpr(
+        f"l_orderkey * 40000000 + {fingerprint} AS message_id",
+        f"l_orderkey * 10 + {slot} AS conversation_id",
+        f"{sender} AS sender_type",
+        f"if({sender} = 'guest', l_orderkey % 1000, l_suppkey) AS sender_id",
+        f"{_thread_time('l_orderkey', slot, f'(l_linenumber - 1) * 450 + {quantity} * 10')} AS sent_at",
+        f"{text} AS text",
+        f"{_pick(INTENTS, f'(l_orderkey + {slot} * 5) % 16')} AS intent_category",
+        f"CAST({mood} - 5 AS DOUBLE) / 5.5D AS sentiment_score",
+        f"CASE WHEN {mood} >= 7 THEN 'positive' WHEN {mood} <= 3 THEN 'negative' ELSE 'neutral' END AS sentiment_label",
+        f"{_pick(LANGUAGES, 'l_suppkey % 6')} AS language",
+        f"if(l_linenumber = 1, 0, {quantity} * 20) AS response_latency_seconds",
+        f"length({text}) AS message_length",
+        f"{_loaded('l_orderkey')} AS generated_at",
     )
 
 
