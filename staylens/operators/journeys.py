@@ -14,6 +14,8 @@ CONVERSATION_KEYS = ["conversation_id", "booking_id", "user_id", "host_id", "pro
 # of the aggregation buffers, so the counts run as a hash aggregation.
 CONVERSATION_ATTRIBUTES = ["conversation_channel", "conversation_status", "csat_score"]
 CHUNK_MESSAGES = 100_000
+# The longest conversation whose text is kept in one cell. Longer ones are told in journey_parts.
+TEXT_MESSAGES = 5_000_000
 ARROW = " -> "
 OPENED = "opened_by_guest"
 
@@ -26,26 +28,38 @@ def _known(column: str) -> Column:
     return F.any_value(column, ignoreNulls=True)
 
 
-def conversation_journeys(log: DataFrame, chunk_messages: int = CHUNK_MESSAGES) -> DataFrame:
+def _chunk(messages: int) -> Column:
+    return F.floor((F.col("message_seq") - 1) / messages)
+
+
+def conversation_journeys(
+    log: DataFrame, chunk_messages: int = CHUNK_MESSAGES, text_messages: int = TEXT_MESSAGES
+) -> DataFrame:
     """Collapse the log to one row per conversation.
 
     Messages are folded in chunks of consecutive positions and the chunks are then folded per
-    conversation, so a conversation of any length is read by many tasks; only its finished journey
-    text is put together in one place. Where the log is already laid out by conversation neither
-    step moves data.
+    conversation, so a conversation of any length is read by many tasks. Where the log is already
+    laid out by conversation neither step moves data. The two journey texts are null for
+    conversations of more than `text_messages` messages; `journey_parts` holds those in full.
     """
     exit_intent = F.col("intent_category").isin(EXIT_INTENTS)
-    chunk = F.floor((F.col("message_seq") - 1) / chunk_messages)
+    fits = F.col("conversation_message_count") <= text_messages
     chunks = (
-        log.withColumn("_chunk", chunk)
+        log.withColumns(
+            {
+                "_chunk": _chunk(chunk_messages),
+                "_event": F.when(fits, F.col("event_label")),
+                "_mood": F.when(fits, F.col("sentiment_label")),
+            }
+        )
         .groupBy(*CONVERSATION_KEYS, *CONVERSATION_ATTRIBUTES, "_chunk")
         .agg(
             _known("intent_category").alias("intent"),
             F.max("conversation_message_count").alias("messages"),
             F.min("sent_at").alias("started"),
             F.max("sent_at").alias("ended"),
-            _joined("event_label", "message_seq").alias("events"),
-            _joined("sentiment_label", "message_seq").alias("moods"),
+            _joined("_event", "message_seq").alias("events"),
+            _joined("_mood", "message_seq").alias("moods"),
             F.count("event_label").alias("labels"),
             F.max(F.when(F.col("is_first_message") & (F.col("event_label") == OPENED), 1).otherwise(0)).alias("opened"),
             F.sum("sentiment_score").alias("sentiment_sum"),
@@ -91,6 +105,24 @@ def conversation_journeys(log: DataFrame, chunk_messages: int = CHUNK_MESSAGES)
     )
 
 
+def journey_parts(
+    log: DataFrame, chunk_messages: int = CHUNK_MESSAGES, longer_than: int = TEXT_MESSAGES
+) -> DataFrame:
+    """The journey texts of long conversations as numbered parts of bounded size.
+
+    Joining the parts of a conversation in order with the same arrow gives its whole text.
+    """
+    return (
+        log.filter(F.col("conversation_message_count") > longer_than)
+        .groupBy("conversation_id", (_chunk(chunk_messages) + 1).alias("part"))
+        .agg(
+            F.count("*").alias("messages"),
+            _joined("event_label", "message_seq").alias("event_journey"),
+            _joined("sentiment_label", "message_seq").alias("sentiment_label_journey"),
+        )
+    )
+
+
 def recent_journeys(
     messages: DataFrame, conversations: DataFrame, months: int = 12, limit: int | None = None
 ) -> DataFrame:

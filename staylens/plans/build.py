@@ -32,6 +32,7 @@ def build_intermediate(src: SourceTables, root: str, limit: int | None = None) -
     built["conversation_journeys"] = write_table(
         journeys.conversation_journeys(built["conversation_log"]), root, "conversation_journeys"
     )
+    built["journey_parts"] = write_table(journeys.journey_parts(built["conversation_log"]), root, "journey_parts")
     built["at_risk_conversations"] = write_table(
         risk.at_risk_conversations(built["booking_cancellation_risk"], src.conversations, limit=limit),
         root,
