@@ -6,8 +6,11 @@ the whole population, so rows written earlier would go stale.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,30 +21,43 @@ from staylens.sources.sinks import write_extract, write_json, write_table
 from staylens.sources.tables import SourceTables, read_sources, register_staging_views
 
 
+def together(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame | None]]) -> dict[str, DataFrame | None]:
+    """Run independent writes at the same time, so one fills the executors while another ends."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+        return {name: done.result() for name, done in running.items()}
+
+
 def build_intermediate(src: SourceTables, root: str, limit: int | None = None) -> dict[str, DataFrame]:
     root = f"{root.rstrip('/')}/intermediate"
-    built: dict[str, DataFrame] = {}
-    built["booking_cancellation_risk"] = write_table(
-        risk.booking_cancellation_risk(src.bookings, src.conversations, src.messages, limit=limit),
-        root,
-        "booking_cancellation_risk",
-    )
-    built["conversation_log"] = write_table(
-        messages.conversation_log(src.messages, src.conversations, limit=limit), root, "conversation_log"
-    )
-    built["conversation_journeys"] = write_table(
-        journeys.conversation_journeys(built["conversation_log"]), root, "conversation_journeys"
+    spark = src.bookings.sparkSession
+    bookings, conversations, texts = src.bookings, src.conversations, src.messages
+
+    def scores() -> DataFrame:
+        scored = risk.booking_cancellation_risk(bookings, conversations, texts, limit=limit)
+        return write_table(scored, root, "booking_cancellation_risk")
+
+    def log() -> DataFrame:
+        return write_table(messages.conversation_log(texts, conversations, limit=limit), root, "conversation_log")
+
+    built = together(spark, {"booking_cancellation_risk": scores, "conversation_log": log})
+    scored, logged = built["booking_cancellation_risk"], built["conversation_log"]
+
+    def at_risk() -> DataFrame:
+        return write_table(risk.at_risk_conversations(scored, conversations, limit=limit), root, "at_risk_conversations")
+
+    built |= together(
+        spark,
+        {
+            "conversation_journeys": lambda: write_table(
+                journeys.conversation_journeys(logged), root, "conversation_journeys"
+            ),
+            "journey_parts": lambda: write_table(journeys.journey_parts(logged), root, "journey_parts"),
+            "at_risk_conversations": at_risk,
+        },
     )
-    built["journey_parts"] = write_table(journeys.journey_parts(built["conversation_log"]), root, "journey_parts")
-    built["at_risk_conversations"] = write_table(
-        risk.at_risk_conversations(built["booking_cancellation_risk"], src.conversations, limit=limit),
-        root,
-        "at_risk_conversations",
-    )
-    built["at_risk_concerns"] = write_table(
-        risk.at_risk_concerns(built["at_risk_conversations"]), root, "at_risk_concerns"
-    )
-    return built
+    concerns = risk.at_risk_concerns(built["at_risk_conversations"])
+    return built | {"at_risk_concerns": write_table(concerns, root, "at_risk_concerns")}
 
 
 def build_marts(
@@ -53,22 +69,35 @@ def build_marts(
     events = write_table(
         loss.loss_events(recent, src.bookings, src.users, heavy), root, "loss_events", partition_by="activity_month"
     )
-    built = {"loss_events": events}
-    for name, mart in {
-        "loss_by_month_pattern": loss.loss_by_month_pattern(events),
-        "loss_by_stage": loss.loss_by_stage(events),
-        "complaint_cohort": loss.complaint_cohort(events),
-        "price_quintile_risk": loss.price_quintile_risk(events, limit=limit),
-        "unanswered_opening_monthly": loss.unanswered_opening_monthly(events),
-    }.items():
-        built[name] = write_table(mart, root, name)
-    return built
-
-
-def check_all(src: SourceTables, built: dict[str, DataFrame]) -> DataFrame:
+    marts = {
+        "loss_by_month_pattern": loss.loss_by_month_pattern,
+        "loss_by_stage": loss.loss_by_stage,
+        "complaint_cohort": loss.complaint_cohort,
+        "price_quintile_risk": partial(loss.price_quintile_risk, limit=limit),
+        "unanswered_opening_monthly": loss.unanswered_opening_monthly,
+    }
+
+    def write(name: str) -> DataFrame:
+        return write_table(marts[name](events), root, name)
+
+    return {"loss_events": events} | together(events.sparkSession, {name: partial(write, name) for name in marts})
+
+
+def check_all(src: SourceTables, built: dict[str, DataFrame], root: str) -> DataFrame:
+    """Run every declared check and store the results, one table per layer."""
+    root = f"{root.rstrip('/')}/check_results"
     tables = {**src.named(), **built}
-    checks = [*contracts.staging_checks(), *contracts.intermediate_checks(), *contracts.mart_checks()]
-    return run_checks(checks, tables)
+    layers = {
+        "staging": contracts.staging_checks(),
+        "intermediate": contracts.intermediate_checks(),
+        "marts": contracts.mart_checks(),
+    }
+
+    def write(layer: str) -> DataFrame:
+        return write_table(run_checks(layers[layer], tables), root, layer)
+
+    results = together(src.bookings.sparkSession, {layer: partial(write, layer) for layer in layers})
+    return reduce(DataFrame.unionByName, results.values())
 
 
 def source_freshness(src: SourceTables, now: str) -> DataFrame:
@@ -82,8 +111,10 @@ def source_freshness(src: SourceTables, now: str) -> DataFrame:
 
 def write_extracts(built: dict[str, DataFrame], root: str) -> None:
     root = f"{root.rstrip('/')}/extracts"
-    events, stages = built["loss_events"], built["loss_by_stage"]
-    for name, extract in {
+    events, stages, scores = built["loss_events"], built["loss_by_stage"], built["booking_cancellation_risk"]
+    heavy = loss.heavy_parties(events)["booking_id"]
+    selection = write_table(extracts.drill_down_selection(events, scores, heavy=heavy), root, "drill_down_selection")
+    tables = {
         "stage_value": extracts.stage_value(stages),
         "intent_value": extracts.intent_value(built["complaint_cohort"]),
         "stage_volume": extracts.stage_volume(stages),
@@ -91,24 +122,21 @@ def write_extracts(built: dict[str, DataFrame], root: str) -> None:
         "pattern_impact": extracts.pattern_impact(built["loss_by_month_pattern"]),
         "conversation_profile": extracts.conversation_profile(events),
         "monthly_totals": extracts.monthly_totals(events),
-    }.items():
-        write_extract(extract, root, name)
-    risk_table = built["booking_cancellation_risk"]
-    heavy = loss.heavy_parties(events)["booking_id"]
-    selection = write_table(
-        extracts.drill_down_selection(events, risk_table, heavy=heavy), root, "drill_down_selection"
-    )
-    write_extract(extracts.drill_down_meta(events, selection), root, "drill_down_meta")
-    write_extract(extracts.drill_down_tags(selection), root, "drill_down_tags")
+        "drill_down_meta": extracts.drill_down_meta(events, selection),
+        "drill_down_tags": extracts.drill_down_tags(selection),
+    }
+    writes: dict[str, Callable[[], None]] = {n: partial(write_extract, df, root, n) for n, df in tables.items()}
     # The chosen conversations are few, their messages need not be.
-    write_json(extracts.drill_down_messages(built["conversation_log"], selection), root, "drill_down_messages")
+    lines = extracts.drill_down_messages(built["conversation_log"], selection)
+    writes["drill_down_messages"] = partial(write_json, lines, root, "drill_down_messages")
+    together(events.sparkSession, writes)
 
 
 def write_analyses(src: SourceTables, built: dict[str, DataFrame], root: str, limit: int | None = None) -> None:
     root = f"{root.rstrip('/')}/analyses"
     events, log, scores = built["loss_events"], built["conversation_log"], built["booking_cancellation_risk"]
     heavy = loss.heavy_parties(src.conversations, limit=limit)["booking_id"]
-    for name, table in {
+    tables = {
         "stage_impact": analyses.stage_impact(log, scores, heavy),
         "first_negative_stage": analyses.first_negative_stage(log, scores, heavy),
         "top_risk_bookings": analyses.top_risk_bookings(scores, src.conversations, heavy=heavy),
@@ -121,8 +149,8 @@ def write_analyses(src: SourceTables, built: dict[str, DataFrame], root: str, li
         "risk_kpis": analyses.risk_kpis(scores),
         "message_volume_by_intent": analyses.message_volume_by_intent(src.messages),
         "chat_experience": analyses.chat_experience(src.conversations),
-    }.items():
-        write_table(table, root, name)
+    }
+    together(events.sparkSession, {name: partial(write_table, df, root, name) for name, df in tables.items()})
 
 
 def rebuild(
@@ -133,7 +161,7 @@ def rebuild(
     register_staging_views(src)
     intermediate = build_intermediate(src, out_root)
     built = {**intermediate, **build_marts(src, intermediate, out_root)}
-    checks = write_table(check_all(src, built), out_root, "check_results")
+    checks = check_all(src, built, out_root)
     write_extracts(built, out_root)
     write_analyses(src, built, out_root)
     return checks, source_freshness(src, now)
