@@ -4,19 +4,27 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder of the session, so each later pass sees the same rows.
+def _use_checkpoint_folder(spark: SparkSession) -> None:
+    """Point the context at the shared folder the session names in spark.checkpoint.dir.
 
-    The folder is the shared one named by spark.checkpoint.dir. A temporary folder is used only by
-    a local session that names none.
+    Where none is named and none was set, a temporary folder serves a local session; on a cluster
+    the executors could not share it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
+    context = spark.sparkContext
+    named, current = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
+    if named is not None:
+        if current is None or named not in current:
+            context.setCheckpointDir(named)
+    elif current is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="staylens-checkpoint-"))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="staylens-checkpoint-"))
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Write the rows to the checkpoint folder, so each later pass sees the same rows."""
+    _use_checkpoint_folder(df.sparkSession)
     return df.checkpoint()

@@ -34,20 +34,29 @@ def key_table(df: DataFrame, column: str, values: list) -> DataFrame:
 
 
 def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[str, dict]:
-    """Per column, the values that occur on more than `limit` rows, with their row counts.
+    """Per column, the values that hold too many rows for one task, with their row counts.
 
+    Too many is more than `limit` rows and more than 1/MAX_HEAVY_KEYS of the table: on a very large
+    table an average task is larger than `limit`, and splitting a smaller key would gain nothing.
     One pass builds a frequent-items sketch per column inside the tasks, so nothing is shuffled by
-    key. Only when the sketch names candidates does a second pass count those exactly. A key the
-    sketch does not report holds less than about 1/10,000 of the rows, which is no hot task.
+    key, and it is fine enough to see every such value. Only when it names candidates does a second
+    pass count those exactly.
     """
     limit = limit or rows_per_task(df.sparkSession)
-    sketch = "filter(approx_top_k(`{c}`, {k}, {n}), i -> i.item IS NOT NULL AND i.count > {limit})"
     top = df.agg(
-        *[F.expr(sketch.format(c=c, k=MAX_HEAVY_KEYS, n=SKETCH_ENTRIES, limit=limit)).alias(c) for c in columns]
+        F.count("*").alias("_rows"),
+        *[
+            F.expr(
+                f"filter(approx_top_k(`{c}`, {MAX_HEAVY_KEYS}, {SKETCH_ENTRIES}),"
+                f" i -> i.item IS NOT NULL AND i.count > {limit})"
+            ).alias(c)
+            for c in columns
+        ],
     ).first()
+    limit = max(limit, top["_rows"] // MAX_HEAVY_KEYS)
     heavy: dict[str, dict] = {c: {} for c in columns}
     for c in columns:
-        candidates = [i["item"] for i in top[c] or []]
+        candidates = [i["item"] for i in top[c] or [] if i["count"] > limit]
         if candidates:
             named = df.join(F.broadcast(key_table(df, c, candidates)), c, "left_semi")
             counted = named.groupBy(c).count().filter(F.col("count") > limit)

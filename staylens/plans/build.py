@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -20,55 +21,48 @@ from staylens.plans import analyses, contracts, extracts
 from staylens.sources.sinks import write_extract, write_json, write_table
 from staylens.sources.tables import SourceTables, read_sources, register_staging_views
 
+T = TypeVar("T")
 
-def together(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame | None]]) -> dict[str, DataFrame | None]:
+
+def together(spark: SparkSession, jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent writes at the same time, so one fills the executors while another ends."""
     with ThreadPoolExecutor(max_workers=4) as pool:
         running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
         return {name: done.result() for name, done in running.items()}
 
 
-def build_intermediate(src: SourceTables, root: str, limit: int | None = None) -> dict[str, DataFrame]:
+def build_risk(src: SourceTables, root: str, limit: int | None = None) -> dict[str, DataFrame]:
     root = f"{root.rstrip('/')}/intermediate"
-    spark = src.bookings.sparkSession
-    bookings, conversations, texts = src.bookings, src.conversations, src.messages
-
-    def scores() -> DataFrame:
-        scored = risk.booking_cancellation_risk(bookings, conversations, texts, limit=limit)
-        return write_table(scored, root, "booking_cancellation_risk")
+    scored = risk.booking_cancellation_risk(src.bookings, src.conversations, src.messages, limit=limit)
+    scored = write_table(scored, root, "booking_cancellation_risk")
+    at_risk = risk.at_risk_conversations(scored, src.conversations, limit=limit)
+    at_risk = write_table(at_risk, root, "at_risk_conversations")
+    return {
+        "booking_cancellation_risk": scored,
+        "at_risk_conversations": at_risk,
+        "at_risk_concerns": write_table(risk.at_risk_concerns(at_risk), root, "at_risk_concerns"),
+    }
 
-    def log() -> DataFrame:
-        return write_table(messages.conversation_log(texts, conversations, limit=limit), root, "conversation_log")
 
-    built = together(spark, {"booking_cancellation_risk": scores, "conversation_log": log})
-    scored, logged = built["booking_cancellation_risk"], built["conversation_log"]
+def build_journeys(src: SourceTables, root: str, limit: int | None = None) -> dict[str, DataFrame]:
+    root = f"{root.rstrip('/')}/intermediate"
+    log = messages.conversation_log(src.messages, src.conversations, limit=limit)
+    log = write_table(log, root, "conversation_log")
+    folds = {"conversation_journeys": journeys.conversation_journeys, "journey_parts": journeys.journey_parts}
 
-    def at_risk() -> DataFrame:
-        return write_table(risk.at_risk_conversations(scored, conversations, limit=limit), root, "at_risk_conversations")
+    def write(name: str) -> DataFrame:
+        return write_table(folds[name](log), root, name)
 
-    built |= together(
-        spark,
-        {
-            "conversation_journeys": lambda: write_table(
-                journeys.conversation_journeys(logged), root, "conversation_journeys"
-            ),
-            "journey_parts": lambda: write_table(journeys.journey_parts(logged), root, "journey_parts"),
-            "at_risk_conversations": at_risk,
-        },
-    )
-    concerns = risk.at_risk_concerns(built["at_risk_conversations"])
-    return built | {"at_risk_concerns": write_table(concerns, root, "at_risk_concerns")}
+    return {"conversation_log": log} | together(log.sparkSession, {name: partial(write, name) for name in folds})
 
 
 def build_marts(
-    src: SourceTables, intermediate: dict[str, DataFrame], root: str, limit: int | None = None
+    src: SourceTables, stored_journeys: DataFrame, root: str, limit: int | None = None
 ) -> dict[str, DataFrame]:
     root = f"{root.rstrip('/')}/marts"
     heavy = loss.heavy_parties(src.conversations, limit=limit)
-    recent = loss.in_trailing_window(intermediate["conversation_journeys"])
-    events = write_table(
-        loss.loss_events(recent, src.bookings, src.users, heavy), root, "loss_events", partition_by="activity_month"
-    )
+    events = loss.loss_events(loss.in_trailing_window(stored_journeys), src.bookings, src.users, heavy)
+    events = write_table(events, root, "loss_events", partition_by="activity_month")
     marts = {
         "loss_by_month_pattern": loss.loss_by_month_pattern,
         "loss_by_stage": loss.loss_by_stage,
@@ -83,6 +77,19 @@ def build_marts(
     return {"loss_events": events} | together(events.sparkSession, {name: partial(write, name) for name in marts})
 
 
+def build_tables(src: SourceTables, root: str, limit: int | None = None) -> dict[str, DataFrame]:
+    """Write all intermediate and mart tables. Risk and loss need nothing from each other."""
+
+    def loss_tables() -> dict[str, DataFrame]:
+        built = build_journeys(src, root, limit)
+        return built | build_marts(src, built["conversation_journeys"], root, limit)
+
+    src.named()  # open the sources once, before the threads share them
+    chains = {"risk": partial(build_risk, src, root, limit), "loss": loss_tables}
+    built = together(src.bookings.sparkSession, chains)
+    return built["risk"] | built["loss"]
+
+
 def check_all(src: SourceTables, built: dict[str, DataFrame], root: str) -> DataFrame:
     """Run every declared check and store the results, one table per layer."""
     root = f"{root.rstrip('/')}/check_results"
@@ -159,8 +166,7 @@ def rebuild(
     """Build every layer under `out_root`; return the check results and the source freshness."""
     src = src or read_sources(spark, source_root)
     register_staging_views(src)
-    intermediate = build_intermediate(src, out_root)
-    built = {**intermediate, **build_marts(src, intermediate, out_root)}
+    built = build_tables(src, out_root)
     checks = check_all(src, built, out_root)
     write_extracts(built, out_root)
     write_analyses(src, built, out_root)

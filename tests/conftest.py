@@ -12,9 +12,9 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()

@@ -39,6 +39,13 @@ def test_heavy_keys_are_counted_exactly(skewed):
     assert heavy_keys(skewed, "g", limit=5000)["g"] == {}
 
 
+def test_heavy_keys_hold_more_than_an_average_task(spark):
+    df = spark.range(30_000).selectExpr("if(id < 3, -1, id) AS k")
+    assert heavy_keys(df, "k", limit=2)["k"] == {}
+    df = spark.range(30_000).selectExpr("if(id < 4, -1, id) AS k")
+    assert heavy_keys(df, "k", limit=2)["k"] == {-1: 4}
+
+
 def test_heavy_keys_ignore_nulls(spark):
     df = spark.createDataFrame([(None,)] * 50 + [(1,)] * 30 + [(2,)], "k int")
     assert heavy_keys(df, "k", limit=10)["k"] == {1: 30}
@@ -127,3 +134,11 @@ def test_salted_join_equals_plain_join(spark, skewed):
     for how in ("inner", "left"):
         got = salted_join(skewed, one, "g", F.col("id"), heavy, how)
         assert same(got, skewed.join(one, "g", how))
+
+
+def test_pin_uses_the_folder_of_the_session(spark, tmp_path):
+    from staylens.functions.pin import pin
+
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    assert pin(spark.range(3)).count() == 3
+    assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
