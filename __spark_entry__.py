@@ -65,7 +65,9 @@ class Session:
         return extracts.high_risk(events, self.risk(), heavy=self.heavy_bookings())
 
     def selection(self, events: DataFrame) -> DataFrame:
-        return pin(extracts.drill_down_selection(events, self.risk(), heavy=self.heavy_bookings()))
+        # Both halves of the selection read the events, but only their keys.
+        keys = pin(events.select("conversation_id", "booking_id"))
+        return pin(extracts.drill_down_selection(keys, self.risk(), heavy=self.heavy_bookings()))
 
     def stored_intermediate(self) -> dict[str, DataFrame]:
         built = {"booking_cancellation_risk": pin(self.risk()), "conversation_log": pin(self.log())}
@@ -116,7 +118,7 @@ def _checks_intermediate(s: Session) -> DataFrame:
 
 
 def _typical(s: Session) -> DataFrame:
-    events = s.events()
+    events = pin(s.events().select("conversation_id", "booking_id"))
     return extracts.typical(events, s.high_risk(events))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.numeric import count_where
+from staylens.functions.pin import pin
 from staylens.functions.skew import salted_join
 from staylens.operators.messages import conversation_log
 
@@ -135,8 +136,11 @@ def typical(events: DataFrame, excluded: DataFrame, n: int = TYPICAL, seed: int
 def drill_down_selection(
     events: DataFrame, risk: DataFrame, high: int = HIGH_RISK, sample: int = TYPICAL, heavy: dict | None = None
 ) -> DataFrame:
-    """conversation_id and tag of the drill-down set: at most high + sample rows."""
-    risky = high_risk(events, risk, high, heavy).select("conversation_id")
+    """conversation_id and tag of the drill-down set: at most high + sample rows.
+
+    The risky half is pinned, since both the result and the exclusion read it.
+    """
+    risky = pin(high_risk(events, risk, high, heavy).select("conversation_id"))
     calm = typical(events, risky, sample)
     return risky.withColumn("tag", F.lit("high_risk")).unionByName(calm.withColumn("tag", F.lit("typical")))
 
