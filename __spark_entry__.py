@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -218,12 +220,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return loss.loss_by_stage(Session(spark, SMOKE_DIR).events())
 
 
+def _corpus_parts() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data subpackage and its pipeline, as far as they are installed."""
+    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    sql: dict[str, str] = {}
+    if find_spec("staylens.llm") and find_spec("staylens.llm.queries"):
+        corpus = import_module("staylens.llm.queries")
+        found |= corpus.QUERIES
+        sql |= corpus.ORACLE_SQL
+        if find_spec("corpus_pipeline"):
+            pipeline = import_module("corpus_pipeline")
+            found["pipeline"] = pipeline.run
+            if pipeline.ORACLE_SQL:
+                sql["pipeline"] = pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(plan: Callable[[Session], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: rounded(plan(Session(spark, sf_dir)))
 
-    return {name: runner(plan) for name, plan in PLANS.items()}
+    return {name: runner(plan) for name, plan in PLANS.items()} | _corpus_parts()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.statements()
+    return oracle_queries.statements() | _corpus_parts()[1]
