@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import rules, simhash
+from staylens.llm import repeats, rules, simhash
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -15,6 +15,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(_table(spark, sf_dir, "documents"))
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
+    return cut.select(
+        "doc_id",
+        size.alias("n_bytes"),
+        (size - F.octet_length("kept")).alias("n_removed"),
+        F.size("repeat_spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judged(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -26,6 +38,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
