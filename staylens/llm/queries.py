@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import repeats, rules, simhash
+from staylens.llm import repeats, rules, simhash, tiers, tokens
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -15,6 +15,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tiers.packed(_table(spark, sf_dir, "documents"), tokens.word_vocabulary())
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.without_repeats(_table(spark, sf_dir, "documents"))
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
@@ -38,6 +44,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_tier_packing": op2_tier_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
