@@ -191,7 +191,7 @@ def covered_runs(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     rows = texts.select("row_key", F.lit(0).cast("bigint").alias("base"), F.lit(False).alias("witness"), "data")
     steps, found = gram_steps(width), []
     for k in range(len(steps)):
-        step = stored(refined(rows, steps[: k + 1], width, keep_bytes=k > 0))
+        step = stored(refined(rows, steps[: k + 1], width, keep_bytes=0 < k < len(steps) - 1))
         found.append(step.filter("covered").select("row_key", "start", "n"))
         left = step.filter("open").select("row_key", F.col("start").alias("base"), "n", "witness", "data")
         if k == len(steps) - 1 or left.isEmpty():
