@@ -43,4 +43,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counts
 """
 
-ORACLE_SQL = {"op9_quality_rules": QUALITY_RULES}
+POISSON_MIX = """
+WITH sizes AS (
+  SELECT source, sum(octet_length(encode(coalesce(text, ''))) + 1) AS size FROM documents GROUP BY source
+),
+weighted AS (SELECT source, size, sqrt(CAST(size AS DOUBLE)) AS weight FROM sizes),
+rates AS (
+  SELECT source, weight / (SELECT sum(weight) FROM weighted) * (SELECT sum(size) FROM weighted) / size AS rate FROM weighted
+),
+chances AS (
+  SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1)))
+    OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS below
+  FROM rates, (SELECT unnest(range(0, 200)) AS k)
+),
+drawn AS (
+  SELECT *, md5(coalesce(text, '')) AS digest,
+    (CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))), 1, 13) AS BIGINT) + 0.5)
+      / 4503599627370496.0 AS u
+  FROM documents
+),
+counted AS (
+  SELECT drawn.*, (SELECT count(*) FROM chances WHERE chances.source IS NOT DISTINCT FROM drawn.source AND below <= u) AS copies FROM drawn
+),
+copied AS (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted)
+SELECT doc_id, text, lang, source, n_chars, copy, copies,
+  CAST('0x' || substr(md5('18:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || digest || ':' || copy), 1, 13) AS BIGINT) AS shuffle_key
+FROM copied
+"""
+
+ORACLE_SQL = {"op5_poisson_mix": POISSON_MIX, "op9_quality_rules": QUALITY_RULES}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import repeats, rules, simhash, tiers, tokens
+from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -21,6 +21,28 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
+def op3_bestfit_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.matrices(_table(spark, sf_dir, "documents"), tokens.word_vocabulary())
+
+
+def op4_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.shuffled(_table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.without_repeats(_table(spark, sf_dir, "documents"))
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
@@ -45,6 +67,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_tier_packing": op2_tier_packing,
+    "op3_bestfit_matrices": op3_bestfit_matrices,
+    "op4_hypergeometric_shards": op4_hypergeometric_shards,
+    "op5_poisson_mix": op5_poisson_mix,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,

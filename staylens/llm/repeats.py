@@ -232,15 +232,21 @@ def _merged(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return merge
 
 
+def _left(text: bytes, cuts: list[dict]) -> list[bytes]:
+    edges = [0, *(e for c in cuts for e in (c["start"], c["end"])), len(text)]
+    return [text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+
+
 @F.arrow_udf(T.BinaryType())
 def _kept(data: pa.Array, spans: pa.Array) -> pa.Array:
-    out = []
-    for text, cuts in zip(data.to_pylist(), spans.to_pylist(), strict=True):
-        if cuts:
-            edges = [0, *(e for c in cuts for e in (c["start"], c["end"])), len(text)]
-            text = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-        out.append(text)
-    return pa.array(out, pa.binary())
+    rows = zip(data.to_pylist(), spans.to_pylist(), strict=True)
+    return pa.array([b"".join(_left(text, cuts)) if cuts else text for text, cuts in rows], pa.binary())
+
+
+@F.arrow_udf(T.StringType())
+def _kept_text(data: pa.Array, spans: pa.Array) -> pa.Array:
+    rows = zip(data.to_pylist(), spans.to_pylist(), strict=True)
+    return pa.array(["".join(part.decode("utf-8", "ignore") for part in _left(text or b"", cuts)) for text, cuts in rows], pa.string())
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -265,6 +271,6 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return joined.withColumn("kept", _kept("_data", "repeat_spans")).drop("_data")
 
 
-def kept_text(kept: Column) -> Column:
-    """The remaining bytes as text, without the broken halves of characters that a cut fell into."""
-    return F.regexp_replace(F.decode(kept, "UTF-8"), "�", "")
+def kept_text(text: Column, repeat_spans: Column) -> Column:
+    """The remaining text. Where a cut falls into a character, its broken half goes too."""
+    return F.when(F.size(repeat_spans) == 0, text).otherwise(_kept_text(text.cast("binary"), repeat_spans))
