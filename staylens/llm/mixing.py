@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.store import settled
+
 SEED = 17
 EXPONENT = 0.5
 HEX_DIGITS = 13
@@ -92,7 +94,7 @@ def mixed(docs: DataFrame, weighted: DataFrame | None = None, seed: int = SEED)
     own = [docs[c] for c in docs.columns if c not in ("copy", "copies", "shuffle_key")]
     digest = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")))
     drawn = docs.join(table, docs["source"].eqNullSafe(table["mix_source"])).select(
-        *own, "least", "below", digest.alias("_digest"), ((_draw_bits(F.lit(seed), docs["doc_id"], digest) + 0.5) / float(1 << 52)).alias("_u")
+        *own, "least", "below", digest.alias("_digest"), settled((_draw_bits(F.lit(seed), docs["doc_id"], digest) + 0.5) / float(1 << 52)).alias("_u")
     )
     counted = drawn.withColumn("copies", F.col("least") + F.size(F.filter("below", lambda p: p <= F.col("_u"))))
     names = [c for c in docs.columns if c not in ("copy", "copies", "shuffle_key")]

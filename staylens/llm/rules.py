@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.store import settled
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -109,7 +111,8 @@ def metrics(docs: DataFrame) -> DataFrame:
     # A start covers three words, fewer where the next start comes sooner.
     covers = lambda i, k: F.least(F.lit(3), F.coalesce(F.get("_starts", k + 1) - i, F.lit(3)))
     repeated = F.aggregate(F.transform("_starts", covers), F.lit(0), lambda a, x: a + x)
-    out = starts.withColumn("n_repeat_words", F.coalesce(repeated, F.lit(0)).cast("bigint"))
+    # A filter on a count must not be pushed below this point: it would repeat the arrays inside itself.
+    out = starts.withColumn("n_repeat_words", settled(F.coalesce(repeated, F.lit(0)).cast("bigint")))
     return out.drop("_words", "_lines", "_grams", "_packed", "_placed", "_starts")
 
 

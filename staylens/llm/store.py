@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,3 +34,12 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(value: Column) -> Column:
+    """The same value, computed once per row where it stands.
+
+    The optimiser may copy an expression into each place that reads it, which inside a lambda is once
+    per array element, and move filters below it. It does neither past a running id.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
