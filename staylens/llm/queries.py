@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens
+from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens, warc
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -55,6 +55,14 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archived(_table(spark, sf_dir, "pages"))
+    read = spark.read.format("warc").option("payload", "verify").load(folder)
+    return read.select(
+        warc.page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_number("refers_to").alias("refers_to")
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judged(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -71,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_warc": op7_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
