@@ -71,4 +71,18 @@ SELECT doc_id, text, lang, source, n_chars, copy, copies,
 FROM copied
 """
 
-ORACLE_SQL = {"op5_poisson_mix": POISSON_MIX, "op9_quality_rules": QUALITY_RULES}
+VECTOR_APPROXIMATION = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op1_vector_approximation": VECTOR_APPROXIMATION, "op5_poisson_mix": POISSON_MIX, "op9_quality_rules": QUALITY_RULES}

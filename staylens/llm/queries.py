@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens, warc
+from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens, vafile, warc
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vafile.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = tiers.packed(_table(spark, sf_dir, "documents"), tokens.word_vocabulary())
     crc = F.crc32("ids").alias("ids_crc32")
@@ -74,6 +79,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_approximation": op1_vector_approximation,
     "op2_tier_packing": op2_tier_packing,
     "op3_bestfit_matrices": op3_bestfit_matrices,
     "op4_hypergeometric_shards": op4_hypergeometric_shards,
