@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens, vafile, warc
+from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens, toxicity, vafile, warc
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -68,6 +68,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    field = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, field)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judged(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_poisson_mix": op5_poisson_mix,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
+    "op8_toxic_spans": op8_toxic_spans,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
