@@ -118,7 +118,9 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFra
     drawn = spark.createDataFrame(
         [(g, room[i].tolist(), base[i].tolist()) for i, (g, _) in enumerate(groups)], "_group bigint, room array<bigint>, base array<bigint>"
     )
-    matrix = counts.join(drawn, "_group").groupBy("_group").applyInPandas(_members(seed), "_part bigint, _n bigint, _cum array<bigint>, _base array<bigint>")
+    members = counts.join(drawn, "_group").groupBy("_group").applyInPandas(_members(seed), "_part bigint, _n bigint, _cum array<bigint>, _base array<bigint>")
+    # Written first, so that Spark knows its size: a small matrix is broadcast and the rows stay where they are.
+    matrix = stored(members)
     local = staged.join(matrix, "_part").withColumn("_place", _permuted("_row", F.col("_part") * 2 + seed * 1_000_003, "_n"))
     sent = local.withColumn("shard", F.size(F.filter("_cum", lambda c: c <= F.col("_place"))))
     # _base already has the partition's rows for earlier shards taken off.
