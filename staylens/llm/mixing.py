@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.store import settled
+from staylens.llm.store import settled, stored
 
 SEED = 17
 EXPONENT = 0.5
@@ -90,7 +90,8 @@ def mixed(docs: DataFrame, weighted: DataFrame | None = None, seed: int = SEED)
     text counts as empty; rows that repeat id and text draw the same number. An empty table gives no
     rows.
     """
-    table = rates(weighted if weighted is not None else tempered_weights(source_sizes(docs)))
+    # Written first, so that Spark knows its size: few sources are broadcast and the texts stay where they are.
+    table = stored(rates(weighted if weighted is not None else tempered_weights(source_sizes(docs))))
     own = [docs[c] for c in docs.columns if c not in ("copy", "copies", "shuffle_key")]
     digest = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")))
     drawn = docs.join(table, docs["source"].eqNullSafe(table["mix_source"])).select(
