@@ -199,7 +199,9 @@ class WarcReader(DataSourceReader):
             return [Archive(f"{folder}/{n}") for n in sorted(names)]
         return [Archive(p) for p in sorted(found) if p.endswith((".warc", ".warc.gz"))]
 
-    def read(self, partition: Archive) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Archive | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # there are no archives
+            return
         schema = _arrow_schema()
         rows: list[tuple] = []
         held = 0

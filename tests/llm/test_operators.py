@@ -169,6 +169,7 @@ def test_warc(spark, tmp_path):
 def test_plain_warc(spark, tmp_path):
     data = b"".join(warc.record("response", f"<urn:page:{i}>", None, b"p" * i, None, warc.DATE) for i in (1, 9000, 3))
     (tmp_path / "x.warc").write_bytes(data)
+    warc.register(spark)
     read = spark.read.format("warc").load(str(tmp_path))
     assert sorted(r.payload_bytes for r in read.collect()) == [1, 3, 9000]
     assert read.filter("record_id = '<urn:page:3>'").first().payload_bytes == 3
