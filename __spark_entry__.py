@@ -157,7 +157,7 @@ PLANS: dict[str, Callable[[Session], DataFrame]] = {
     "conversation_log_split": lambda s: s.log(limit=4),
     "conversation_journeys": lambda s: journeys.conversation_journeys(s.log()),
     "conversation_journeys_chunked": lambda s: journeys.conversation_journeys(s.log(), chunk_messages=2),
-    "journey_parts": lambda s: journeys.journey_parts(s.log(), chunk_messages=3, longer_than=2),
+    "journey_parts": lambda s: journeys.journey_parts(s.log(), chunk_messages=3),
     "at_risk_conversations": lambda s: s.at_risk(),
     "at_risk_concerns": lambda s: risk.at_risk_concerns(s.at_risk()),
     # Marts

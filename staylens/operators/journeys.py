@@ -14,8 +14,6 @@ CONVERSATION_KEYS = ["conversation_id", "booking_id", "user_id", "host_id", "pro
 # of the aggregation buffers, so the counts run as a hash aggregation.
 CONVERSATION_ATTRIBUTES = ["conversation_channel", "conversation_status", "csat_score"]
 CHUNK_MESSAGES = 100_000
-# The longest conversation whose text is kept in one cell. Longer ones are told in journey_parts.
-TEXT_MESSAGES = 5_000_000
 ARROW = " -> "
 OPENED = "opened_by_guest"
 
@@ -32,34 +30,25 @@ def _chunk(messages: int) -> Column:
     return F.floor((F.col("message_seq") - 1) / messages)
 
 
-def conversation_journeys(
-    log: DataFrame, chunk_messages: int = CHUNK_MESSAGES, text_messages: int = TEXT_MESSAGES
-) -> DataFrame:
+def conversation_journeys(log: DataFrame, chunk_messages: int = CHUNK_MESSAGES) -> DataFrame:
     """Collapse the log to one row per conversation.
 
     Messages are folded in chunks of consecutive positions and the chunks are then folded per
     conversation, so a conversation of any length is read by many tasks. Where the log is already
-    laid out by conversation neither step moves data. The two journey texts are null for
-    conversations of more than `text_messages` messages; `journey_parts` holds those in full.
+    laid out by conversation neither step moves data. The two journey texts are whole at any length;
+    one beyond what a cell of Spark can hold fails the task. `journey_parts` holds the same in bounded cells.
     """
     exit_intent = F.col("intent_category").isin(EXIT_INTENTS)
-    fits = F.col("conversation_message_count") <= text_messages
     chunks = (
-        log.withColumns(
-            {
-                "_chunk": _chunk(chunk_messages),
-                "_event": F.when(fits, F.col("event_label")),
-                "_mood": F.when(fits, F.col("sentiment_label")),
-            }
-        )
+        log.withColumn("_chunk", _chunk(chunk_messages))
         .groupBy(*CONVERSATION_KEYS, *CONVERSATION_ATTRIBUTES, "_chunk")
         .agg(
             _known("intent_category").alias("intent"),
             F.max("conversation_message_count").alias("messages"),
             F.min("sent_at").alias("started"),
             F.max("sent_at").alias("ended"),
-            _joined("_event", "message_seq").alias("events"),
-            _joined("_mood", "message_seq").alias("moods"),
+            _joined("event_label", "message_seq").alias("events"),
+            _joined("sentiment_label", "message_seq").alias("moods"),
             F.count("event_label").alias("labels"),
             F.max(F.when(F.col("is_first_message") & (F.col("event_label") == OPENED), 1).otherwise(0)).alias("opened"),
             F.sum("sentiment_score").alias("sentiment_sum"),
@@ -105,16 +94,13 @@ def conversation_journeys(
     )
 
 
-def journey_parts(
-    log: DataFrame, chunk_messages: int = CHUNK_MESSAGES, longer_than: int = TEXT_MESSAGES
-) -> DataFrame:
-    """The journey texts of long conversations as numbered parts of bounded size.
+def journey_parts(log: DataFrame, chunk_messages: int = CHUNK_MESSAGES) -> DataFrame:
+    """The journey texts of all conversations as numbered parts of bounded size.
 
     Joining the parts of a conversation in order with the same arrow gives its whole text.
     """
     return (
-        log.filter(F.col("conversation_message_count") > longer_than)
-        .groupBy("conversation_id", (_chunk(chunk_messages) + 1).alias("part"))
+        log.groupBy("conversation_id", (_chunk(chunk_messages) + 1).alias("part"))
         .agg(
             F.count("*").alias("messages"),
             _joined("event_label", "message_seq").alias("event_journey"),
@@ -138,7 +124,8 @@ def recent_journeys(
     heavy = heavy_keys(messages, "conversation_id", limit=limit)["conversation_id"]
     if heavy:
         # Cutting heavy conversations reads the messages several times: settle the bound first.
-        cut = F.lit(str(bound.first()["cut"])).cast(messages.schema["sent_at"].dataType)
+        latest = bound.first()["cut"]
+        cut = F.lit(None if latest is None else str(latest)).cast(messages.schema["sent_at"].dataType)
     else:
         cut = bound.scalar()
     log = conversation_log(

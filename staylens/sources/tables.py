@@ -11,15 +11,6 @@ from pyspark.sql import types as T
 
 from staylens.sources.schemas import SCHEMAS
 
-# Decimal places carried by the single-precision measures.
-FLOAT_PLACES = {
-    "response_rate": 4,
-    "price_per_night": 2,
-    "rating": 4,
-    "total_price": 2,
-    "sentiment_score": 6,
-}
-
 
 class SourceTables:
     """The staged source tables. Each one is opened when it is first used."""
@@ -66,10 +57,11 @@ def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
 def stage(df: DataFrame) -> DataFrame:
     """Pass-through, except that single-precision measures become doubles of the same decimal value.
 
-    Widening 0.2f bit by bit gives 0.200000003, which lands on the other side of a 0.2 threshold.
+    Widening 0.2f bit by bit gives 0.200000003, which lands on the other side of a 0.2 threshold. The
+    shortest decimal that names a single exactly is its text, so nothing is rounded away.
     """
     singles = {
-        f.name: F.round(F.col(f.name).cast("double"), FLOAT_PLACES.get(f.name, 6))
+        f.name: F.col(f.name).cast("string").cast("double")
         for f in df.schema
         if isinstance(f.dataType, T.FloatType)
     }

@@ -97,12 +97,12 @@ def bookings(orders: DataFrame, property_count: Column, host_count: Column) -> D
 
 
 def conversations(orders: DataFrame, property_count: Column, host_count: Column) -> DataFrame:
-    """Two thirds of the bookings have a thread; every seventh of those has a second one."""
+    """Every order has a thread, every seventh a second one. A third of them were never booked: no booking id."""
     threads = F.expr("explode(if(o_orderkey % 7 = 0, array(0, 1), array(0)))")
-    linked = orders.filter("o_orderkey % 3 <> 0").withColumn("slot", threads)
+    linked = orders.withColumn("slot", threads)
     return _with_property(linked, property_count, host_count).selectExpr(
         "o_orderkey * 10 + slot AS conversation_id",
-        "o_orderkey AS booking_id",
+        "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS booking_id",
         "o_custkey AS user_id",
         "host_id",
         "property_id",
@@ -135,7 +135,7 @@ def messages(lineitem: DataFrame) -> DataFrame:
         " + CAST(l_linenumber AS BIGINT) * 179424673) % 39999983"
     )
     text = f"concat({sender}, ' note ', l_linenumber, ' on part ', l_partkey)"
-    return lineitem.filter("l_orderkey % 3 <> 0").selectExpr(
+    return lineitem.selectExpr(
         f"l_orderkey * 40000000 + {fingerprint} AS message_id",
         f"l_orderkey * 10 + {slot} AS conversation_id",
         f"{sender} AS sender_type",
