@@ -7,7 +7,7 @@ their last bits with the order in which rows are added.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cache, cached_property, reduce
 from importlib import import_module
 from importlib.util import find_spec
 
@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracle_queries
-from staylens.functions.pin import pin
+from staylens.functions.ordering import percent_ranks
+from staylens.functions.pin import pin, shared_folder
 from staylens.operators import journeys, loss, messages, quality, risk
 from staylens.plans import analyses, contracts, extracts
-from staylens.sources.tables import SourceTables
+from staylens.sources.schemas import SCHEMAS
+from staylens.sources.sinks import read_extract, write_extract, write_json, write_table
+from staylens.sources.tables import SourceTables, read_sources, register_staging_views
 from staylens.sources.tpch import star_sources
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -33,7 +36,20 @@ class Session:
     """The source tables of one run and the tables derived from them, built when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
         self.src: SourceTables = star_sources(spark, sf_dir)
+        # One plan per table and run, so that heavy keys and counts are looked up once.
+        self.risk, self.log, self.events = cache(self.risk), cache(self.log), cache(self.events)
+        self.heavy_bookings = cache(self.heavy_bookings)
+
+    @cached_property
+    def declared(self) -> SourceTables:
+        """The sources written in their declared types, one file set each, and staged from there."""
+        root = shared_folder(self.spark)
+        for (file, schema), df in zip(SCHEMAS.items(), self.src.named().values(), strict=True):
+            typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+            write_table(typed, root, f"{file}.parquet")
+        return read_sources(self.spark, root)
 
     def risk(self, **options: object) -> DataFrame:
         s = self.src
@@ -45,7 +61,7 @@ class Session:
     def events(self, limit: int | None = None) -> DataFrame:
         s = self.src
         recent = journeys.recent_journeys(s.messages, s.conversations, limit=limit)
-        return loss.loss_events(recent, s.bookings, s.users, loss.heavy_parties(s.conversations, limit=limit))
+        return loss.loss_events(recent, s.bookings, s.users, loss.heavy_parties(s.conversations, limit=limit), limit)
 
     def events_from_stored_journeys(self) -> DataFrame:
         s = self.src
@@ -137,6 +153,53 @@ def _drill_down_tags(s: Session) -> DataFrame:
     return extracts.drill_down_tags(s.selection(s.events())).withColumn("tags", F.concat_ws(",", "tags"))
 
 
+def _read_back(staged: DataFrame) -> DataFrame:
+    """A staged table for comparison: small integers as INT."""
+    small = [f.name for f in staged.schema if isinstance(f.dataType, (T.ByteType, T.ShortType))]
+    return staged.withColumns({c: F.col(c).cast("int") for c in small})
+
+
+def _declared_bookings(s: Session) -> DataFrame:
+    """Prices back as the singles they were stored in, which shows that staging lost nothing."""
+    return _read_back(s.declared.bookings).withColumn("total_price", F.col("total_price").cast("float").cast("double"))
+
+
+def _staging_views(s: Session) -> DataFrame:
+    """The staged files as SQL users see them."""
+    register_staging_views(s.declared, "declared_")
+    return s.spark.sql(
+        "SELECT m.sender_type, c.channel, count(*) AS messages, count(c.booking_id) AS with_booking"
+        " FROM declared_messages m JOIN declared_conversations c USING (conversation_id) GROUP BY ALL"
+    )
+
+
+def _written_events(s: Session) -> DataFrame:
+    return write_table(s.events(), shared_folder(s.spark), "loss_events", partition_by="activity_month")
+
+
+def _written_json(s: Session) -> DataFrame:
+    lines, root = journeys.journey_parts(s.log(), chunk_messages=3), shared_folder(s.spark)
+    write_json(lines, root, "journey_parts")
+    return s.spark.read.schema(lines.schema).json(f"{root}/journey_parts")
+
+
+def _written_extract(s: Session) -> DataFrame:
+    profile, root = extracts.conversation_profile(s.events()), shared_folder(s.spark)
+    write_extract(profile, root, "conversation_profile")
+    return read_extract(s.spark, root, "conversation_profile", profile.schema)
+
+
+def _odd_ranks(s: Session, limit: int | None) -> DataFrame:
+    """Ranks of a measure with NaN, both zeros, nulls and large ties."""
+    odd = s.src.bookings.selectExpr(
+        "booking_id",
+        "CASE booking_id % 9 WHEN 0 THEN double('NaN') WHEN 1 THEN -0.0D WHEN 2 THEN 0.0D WHEN 3 THEN NULL"
+        " WHEN 4 THEN -total_price ELSE total_price END AS measure",
+    )
+    ranks = {"rank_up": ("measure", False), "rank_down": ("measure", True)}
+    return percent_ranks(odd, "booking_id", ranks, odd.count(), limit).select("booking_id", *ranks)
+
+
 # Small task limits force the paths that split large groups, over the same whole tables.
 PLANS: dict[str, Callable[[Session], DataFrame]] = {
     # Staging
@@ -146,6 +209,20 @@ PLANS: dict[str, Callable[[Session], DataFrame]] = {
     "stg_bookings": lambda s: s.src.bookings,
     "stg_conversations": lambda s: s.src.conversations,
     "stg_messages": lambda s: s.src.messages,
+    # Files in the declared types, staged; tables and extracts written and read back
+    "declared_users": lambda s: _read_back(s.declared.users),
+    "declared_hosts": lambda s: _read_back(s.declared.hosts),
+    "declared_properties": lambda s: _read_back(s.declared.properties),
+    "declared_bookings": _declared_bookings,
+    "declared_conversations": lambda s: _read_back(s.declared.conversations),
+    "declared_messages": lambda s: _read_back(s.declared.messages),
+    "staging_views": _staging_views,
+    "written_loss_events": _written_events,
+    "written_journey_parts": _written_json,
+    "written_conversation_profile": _written_extract,
+    # Ranks of odd values, plain and split
+    "percent_ranks": lambda s: _odd_ranks(s, None),
+    "percent_ranks_split": lambda s: _odd_ranks(s, 50),
     # Intermediate
     "message_signals": lambda s: risk.message_signals(s.src.messages),
     "conversation_signals": lambda s: risk.conversation_signals(s.src.conversations, s.src.messages),

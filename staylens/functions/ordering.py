@@ -2,8 +2,9 @@
 
 A group with more rows than one task should sort is cut into segments along its sort order. The
 window then runs per segment, and a small summary of the segments (count, last row) supplies what a
-row needs from the segments before it. Cut points come from approximate percentiles: they decide
-only how even the segments are, never the result.
+row needs from the segments before it. Cut points are a sample of the values, chosen by a hash of the
+row's key: their number grows with the group, and they decide only how even the segments are, never
+the result.
 """
 
 from __future__ import annotations
@@ -12,93 +13,77 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from staylens.functions.pin import pin
-from staylens.functions.skew import key_table, rows_per_task, ways
+from staylens.functions.skew import key_table, rows_per_task
 
-BLOCK = 64
-SALTS = 256
-NULL_SLOT = 2**30 + 1
+# Expected cut points per `limit` rows.
+CUTS_PER_TASK = 2
 SEGMENT_STRIDE = 2**31
 
 
-def _percentiles(column: str, parts: int) -> Column:
-    points = ", ".join(f"{i / parts:.10f}D" for i in range(1, parts))
-    return F.expr(f"approx_percentile(`{column}`, array({points}), {max(10_000, parts * 10)})")
+def _cut_points(rows: DataFrame, groups: list[str], value: str, drawn_by: Column, limit: int) -> DataFrame:
+    """One row per group with its sorted cut points in blocks: `blocks` and their last values `ends`.
 
-
-def _cut_points(df: DataFrame, groups: list[str], column: str, rows_of: dict, limit: int) -> DataFrame | None:
-    """One row per heavy group with its sorted cut points in blocks: `blocks` and their last values `ends`.
-
-    The answer is collected and turned into a literal table, so every plan that uses it sees the
-    same cuts. Its size is bounded by the number of heavy groups times MAX_WAYS.
+    About CUTS_PER_TASK values per `limit` rows, so all cut points together are about as many as the
+    tasks that the rows need. That bounds what is broadcast. Nulls are no cut points.
     """
-    parts = max((ways(n, limit) for n in rows_of.values()), default=0)
-    if not parts:
-        return None
-    found = df.groupBy(*groups).agg(_percentiles(column, parts).alias("cuts")).collect()
-    rows = []
-    for r in found:
-        cuts = sorted(set(r["cuts"] or []))
-        blocks = [cuts[i : i + BLOCK] for i in range(0, len(cuts), BLOCK)]
-        rows.append((*[r[g] for g in groups], [b[-1] for b in blocks], blocks))
-    value = df.schema[column].dataType
-    schema = T.StructType(
-        [df.schema[g] for g in groups]
-        + [T.StructField("ends", T.ArrayType(value)), T.StructField("blocks", T.ArrayType(T.ArrayType(value)))]
+    drawn = rows.filter(F.col(value).isNotNull() & (F.pmod(F.xxhash64(drawn_by), F.lit(limit)) < CUTS_PER_TASK))
+    cuts = drawn.groupBy(*groups).agg(F.sort_array(F.collect_set(value)).alias("_cuts"))
+    size = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / size).cast("int")),
+        lambda i: F.slice(F.col("_cuts"), i * size + 1, size),
     )
-    return df.sparkSession.createDataFrame(rows, schema)
+    ends = F.transform("blocks", lambda b: F.element_at(b, -1))
+    return cuts.withColumn("blocks", blocks).withColumn("ends", ends).drop("_cuts")
 
 
 def _cuts_below(x: Column) -> tuple[Column, Column]:
-    """Number of cut points below x, and whether x is itself a cut point."""
+    """Number of cut points below x, and whether x is itself a cut point; 0 in a group without cut points."""
     block = F.size(F.filter("ends", lambda e: e < x))
     inside = F.get(F.col("blocks"), block)
-    below = block * BLOCK + F.coalesce(F.size(F.filter(inside, lambda e: e < x)), F.lit(0))
-    return below, F.coalesce(F.array_contains(inside, x), F.lit(False))
+    below = block * F.size(F.get(F.col("blocks"), F.lit(0))) + F.coalesce(F.size(F.filter(inside, lambda e: e < x)), F.lit(0))
+    none = F.col("ends").isNull()
+    return F.when(none, 0).otherwise(below), F.when(none, False).otherwise(F.coalesce(F.array_contains(inside, x), F.lit(False)))
 
 
 def _slot(x: Column) -> Column:
-    """Even slots lie between two cut points, odd slots hold the rows equal to a cut point.
+    """Even slots lie between two cut points, odd slots hold the rows equal to a cut point. Null for null.
 
-    A value that fills much of the group is always a cut point, so no even slot is heavy.
+    A value that fills much of the group is almost surely a cut point, so no even slot is heavy. NaN is
+    an ordinary value that is larger than all others.
     """
     below, hit = _cuts_below(x)
-    return F.when(x.isNull(), F.lit(NULL_SLOT)).otherwise(below * 2 + hit.cast("int")).cast("bigint")
+    return F.when(x.isNotNull(), below.cast("bigint") * 2 + hit.cast("int"))
 
 
 def _with_segments(df: DataFrame, group: str, order: Sequence[str], heavy: dict, limit: int) -> DataFrame:
     """Add `_seg`: 0 for light groups, else a positive number that rises along the sort order of the group."""
     value, tiebreak = order
-    hot = df.join(F.broadcast(key_table(df, group, list(heavy))), group, "left_semi")
-    cuts = _cut_points(hot, [group], value, heavy, limit)
+    keys = key_table(df, group, list(heavy)).withColumn("_heavy", F.lit(True))
+    # Only the heavy rows, and of them two columns, are read again for the layout.
+    hot = pin(df.select(group, value, tiebreak).join(F.broadcast(keys), group).drop("_heavy"))
+    cuts = pin(_cut_points(hot, [group], value, F.struct(F.col(group), F.col(tiebreak)), limit))
+    last = F.lit(2**30 + 1)
 
     def add_slot(rows: DataFrame) -> DataFrame:
+        slot = F.when(F.col("_heavy"), F.coalesce(_slot(F.col(value)), last) + 2).otherwise(F.lit(0))
         return (
-            rows.join(F.broadcast(cuts), group, "left")
-            .withColumn("_slot", F.when(F.col("ends").isNotNull(), _slot(F.col(value)) + 2).otherwise(F.lit(0).cast("bigint")))
-            .drop("ends", "blocks")
+            rows.join(F.broadcast(keys), group, "left")
+            .join(F.broadcast(cuts), group, "left")
+            .withColumn("_slot", slot.cast("bigint"))
+            .drop("ends", "blocks", "_heavy")
         )
 
     # A slot of equal values can still be heavy: cut it again along the tie-break column.
-    ties = add_slot(hot).groupBy(group, "_slot").count().filter((F.col("count") > limit) & (F.col("_slot") % 2 == 1))
-    tied = {(r[group], r["_slot"]): r["count"] for r in ties.collect()}
-    out = add_slot(df)
-    if tied:
-        keys = df.sparkSession.createDataFrame(
-            [k for k in tied], T.StructType([df.schema[group], T.StructField("_slot", T.LongType())])
-        )
-        tied_rows = add_slot(hot).join(F.broadcast(keys), [group, "_slot"], "left_semi")
-        tie_cuts = _cut_points(tied_rows, [group, "_slot"], tiebreak, tied, limit)
-        below, _ = _cuts_below(F.col(tiebreak))
-        out = (
-            out.join(F.broadcast(tie_cuts), [group, "_slot"], "left")
-            .withColumn("_part", F.when(F.col("ends").isNotNull(), below).otherwise(0))
-            .drop("ends", "blocks")
-        )
-    else:
-        out = out.withColumn("_part", F.lit(0))
+    placed = add_slot(hot)
+    tied = placed.groupBy(group, "_slot").count().filter((F.col("count") > limit) & (F.col("_slot") % 2 == 1)).drop("count")
+    tied_rows = placed.join(F.broadcast(tied), [group, "_slot"], "left_semi")
+    again = F.struct(F.col(group), F.col(tiebreak), F.lit("again"))
+    tie_cuts = pin(_cut_points(tied_rows, [group, "_slot"], tiebreak, again, limit))
+    below, _ = _cuts_below(F.col(tiebreak))
+    out = add_slot(df).join(F.broadcast(tie_cuts), [group, "_slot"], "left").withColumn("_part", below).drop("ends", "blocks")
     return out.withColumn("_seg", F.col("_slot") * SEGMENT_STRIDE + F.col("_part")).drop("_slot", "_part")
 
 
@@ -138,7 +123,7 @@ def ordered_scan(
         .groupBy(*keys)
         .agg(F.count("*").alias("_rows"), *[F.max_by(c, nulls_last).alias(f"_last_{c}") for c in lags])
     )
-    # One row per segment of a heavy group: about one per `limit` rows of the table.
+    # One row per segment of a heavy group. Segments are light, so Spark may join them either way.
     along = Window.partitionBy(group).orderBy("_seg")
     seams = segments.select(
         *keys,
@@ -147,7 +132,7 @@ def ordered_scan(
         *[F.lag(f"_last_{c}").over(along).alias(f"_seam_{c}") for c in lags],
     )
     if dims is not None:
-        copies = dims.join(F.broadcast(seams.select(*keys)), group, "left")
+        copies = dims.join(seams.select(*keys), group, "left")
         copies = copies.withColumn("_seg", F.coalesce("_seg", F.lit(0).cast("bigint")))
         df = df.join(copies, keys)
     w = Window.partitionBy(*keys).orderBy(*sort)
@@ -157,7 +142,7 @@ def ordered_scan(
             **{f"prev_{c}": F.lag(c).over(w) for c in lags},
             "group_rows": F.count("*").over(Window.partitionBy(*keys)),
         }
-    ).join(F.broadcast(seams), keys, "left")
+    ).join(seams, keys, "left")
     return local.withColumns(
         {
             **{f"prev_{c}": F.when(F.col("position") == 1, F.col(f"_seam_{c}")).otherwise(F.col(f"prev_{c}")) for c in lags},
@@ -201,10 +186,12 @@ def percent_ranks(
 ) -> DataFrame:
     """Exact PERCENT_RANK over the whole table, nulls last, for several numeric columns at once.
 
-    `ranks` maps each output column to (input column, descending). `key` is unique and `rows` is the
-    exact row count. When it fits one task these are plain windows. Beyond that each column is
-    counted per slot, and a row adds its rank inside its slot to the count of the slots before it.
-    Rows equal to a cut point and null rows need no order at all, so ties of any size stay spread.
+    `ranks` maps each output column to (input column, descending). `key` is unique and not null, and
+    `rows` is the exact row count. When it fits one task these are plain windows. Beyond that all
+    columns are ranked as one thin table of (column, value), counted per slot; a row adds its rank
+    inside its slot to the count of the slots before it. Rows equal to a cut point and null rows need
+    no window at all, so ties of any size stay spread. Both ways give the same ranks, also for NaN
+    (larger than all numbers) and for both zeros (equal).
     """
     limit = limit or rows_per_task(df.sparkSession)
     if rows <= limit:
@@ -218,38 +205,39 @@ def percent_ranks(
         )
 
     wide = pin(df)
-    # Ranking downwards is ranking the negated values upwards.
-    thin = wide.select(key, *[(-F.col(c) if down else F.col(c)).cast("double").alias(out) for out, (c, down) in ranks.items()])
-    stats = thin.agg(
-        *[F.count(out).alias(f"n_{out}") for out in ranks],
-        *[_percentiles(out, ways(rows, limit)).alias(out) for out in ranks],
-    ).first()
+    ranked = wide
+    for descending in (False, True):
+        columns = {out: c for out, (c, down) in ranks.items() if down == descending}
+        if columns:
+            ranked = ranked.join(_slot_ranks(wide, key, columns, descending, rows, limit), key)
+    return ranked
+
+
+def _slot_ranks(wide: DataFrame, key: str, columns: dict[str, str], descending: bool, rows: int, limit: int) -> DataFrame:
+    """`key` and the percent rank of every column in one direction."""
+    values = F.array(*[F.struct(F.lit(out).alias("_out"), F.col(c).cast("double").alias("_value")) for out, c in columns.items()])
+    thin = wide.select(key, F.inline(values)).filter(F.col("_value").isNotNull())
+    cuts = pin(_cut_points(thin, ["_out"], "_value", F.struct(F.col(key), F.col("_out")), limit))
+    slotted = thin.join(F.broadcast(cuts), "_out", "left").withColumn("_slot", _slot(F.col("_value"))).drop("ends", "blocks")
+    # About as many slots as the rows need tasks.
+    along = Window.partitionBy("_out").orderBy(F.desc("_slot") if descending else F.asc("_slot"))
+    before = pin(
+        slotted.groupBy("_out", "_slot")
+        .count()
+        .select("_out", "_slot", (F.sum("count").over(along) - F.col("count")).alias("_before"))
+    )
+    between = Window.partitionBy("_out", "_slot").orderBy(F.desc("_value") if descending else F.asc("_value"))
+    tied = F.col("_slot") % 2 == 1
+    placed = (
+        slotted.filter(~tied)
+        .withColumn("_inside", F.rank().over(between) - 1)
+        .unionByName(slotted.filter(tied).withColumn("_inside", F.lit(0)))
+        .join(F.broadcast(before), ["_out", "_slot"])
+        .groupBy(key)
+        .agg(*[F.max(F.when(F.col("_out") == out, F.col("_before") + F.col("_inside"))).alias(out) for out in columns])
+    )
+    # Nulls rank behind all values, so at their number.
+    counts = wide.agg(*[F.count(c).alias(out) for out, c in columns.items()]).first()
     steps = max(rows - 1, 1)
-    ranked = thin
-    for out in ranks:
-        cuts = sorted(set(stats[out] or []))
-        blocks = [cuts[i : i + BLOCK] for i in range(0, len(cuts), BLOCK)]
-        layout = df.sparkSession.createDataFrame(
-            [([b[-1] for b in blocks], blocks)], "ends array<double>, blocks array<array<double>>"
-        )
-
-        def slotted(rows: DataFrame) -> DataFrame:
-            return rows.crossJoin(F.broadcast(layout)).withColumn("_slot", _slot(F.col(out))).drop("ends", "blocks")
-
-        # At most 2 * MAX_WAYS + 2 slots.
-        before = slotted(thin.select(out)).groupBy("_slot").count().select(
-            "_slot", (F.sum("count").over(Window.orderBy("_slot")) - F.col("count")).alias("_before")
-        )
-        ties = F.col("_slot") % 2 == 1
-        salted = slotted(ranked).withColumn("_salt", F.when(ties, F.pmod(F.xxhash64(key), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint")))
-        w = Window.partitionBy("_slot", "_salt").orderBy(out)
-        rank = F.when(F.col(out).isNull(), F.lit(stats[f"n_{out}"])).otherwise(
-            F.col("_before") + F.when(ties, 0).otherwise(F.col("_rank") - 1)
-        )
-        ranked = (
-            salted.withColumn("_rank", F.rank().over(w))
-            .join(F.broadcast(before), "_slot")
-            .withColumn(out, rank.cast("double") / steps)
-            .drop("_slot", "_salt", "_rank", "_before")
-        )
-    return wide.join(ranked, key)
+    found = wide.select(key).join(placed, key, "left")
+    return found.select(key, *[(F.coalesce(out, F.lit(counts[out])).cast("double") / steps).alias(out) for out in columns])

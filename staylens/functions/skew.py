@@ -1,6 +1,7 @@
 """Finding keys that hold too many rows for one task, and joining on them without a hot task.
 
 The heavy keys only decide the layout of the work. Every result is exact whatever is found here.
+There are at most rows / limit heavy keys, so lists of them are no longer than the list of tasks.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK_CONF = "spark.staylens.rowsPerTask"
 ROWS_PER_TASK = 1_000_000
-MAX_HEAVY_KEYS = 10_000
+SKETCH_KEYS = 10_000
 SKETCH_ENTRIES = 100_000
-MAX_WAYS = 2_000
 
 
 def rows_per_task(spark: SparkSession) -> int:
@@ -24,59 +24,63 @@ def rows_per_task(spark: SparkSession) -> int:
 
 
 def ways(rows: int, limit: int) -> int:
-    return max(2, min(MAX_WAYS, math.ceil(rows / limit)))
+    return max(2, math.ceil(rows / limit))
 
 
 def key_table(df: DataFrame, column: str, values: list) -> DataFrame:
-    """A one-column table of at most MAX_HEAVY_KEYS values, typed like the column of df."""
+    """A one-column table of heavy keys, typed like the column of df."""
     schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
     return df.sparkSession.createDataFrame([(v,) for v in values], schema)
 
 
 def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[str, dict]:
-    """Per column, the values that hold too many rows for one task, with their row counts.
+    """Per column, the values with more than `limit` rows, with their row counts.
 
-    Too many is more than `limit` rows and more than 1/MAX_HEAVY_KEYS of the table: on a very large
-    table an average task is larger than `limit`, and splitting a smaller key would gain nothing.
     One pass builds a frequent-items sketch per column inside the tasks, so nothing is shuffled by
-    key, and it is fine enough to see every such value. Only when it names candidates does a second
-    pass count those exactly.
+    key. Its error is below 4 rows in SKETCH_ENTRIES; while that is under `limit`, it names every heavy
+    key, and a second pass counts those exactly. On a table beyond the sketch's reach all keys are
+    counted, combined before the shuffle.
     """
     limit = limit or rows_per_task(df.sparkSession)
     top = df.agg(
         F.count("*").alias("_rows"),
-        *[
-            F.expr(
-                f"filter(approx_top_k(`{c}`, {MAX_HEAVY_KEYS}, {SKETCH_ENTRIES}),"
-                f" i -> i.item IS NOT NULL AND i.count > {limit})"
-            ).alias(c)
-            for c in columns
-        ],
+        *[F.expr(f"filter(approx_top_k(`{c}`, {SKETCH_KEYS}, {SKETCH_ENTRIES}), i -> i.item IS NOT NULL)").alias(c) for c in columns],
     ).first()
-    limit = max(limit, top["_rows"] // MAX_HEAVY_KEYS)
+    rows = top["_rows"]
+    in_reach = 4 * rows <= limit * SKETCH_ENTRIES and rows <= limit * SKETCH_KEYS
     heavy: dict[str, dict] = {c: {} for c in columns}
     for c in columns:
-        candidates = [i["item"] for i in top[c] or [] if i["count"] > limit]
-        if candidates:
+        named = df.filter(F.col(c).isNotNull())
+        if in_reach:
+            # A sketched count is never too low.
+            candidates = [i["item"] for i in top[c] or [] if i["count"] > limit]
+            if not candidates:
+                continue
             named = df.join(F.broadcast(key_table(df, c, candidates)), c, "left_semi")
-            counted = named.groupBy(c).count().filter(F.col("count") > limit)
-            heavy[c] = {r[c]: r["count"] for r in counted.collect()}
+        counted = named.groupBy(c).count().filter(F.col("count") > limit)
+        heavy[c] = {r[c]: r["count"] for r in counted.collect()}
     return heavy
 
 
 def salted_join(
-    many: DataFrame, one: DataFrame, key: str, spread_by: Column, heavy: dict, how: str = "inner"
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    spread_by: Column,
+    heavy: dict,
+    how: str = "inner",
+    limit: int | None = None,
 ) -> DataFrame:
     """Equi-join of a large side with a side that is unique on `key`.
 
-    Rows of a heavy key are dealt out over as many salts as its rows need, by a hash of
-    `spread_by`; the single matching row of the other side is repeated once per salt. Without heavy
-    keys this is the plain join and Spark chooses between broadcast and sort-merge by size.
+    Rows of a heavy key are dealt out over as many salts as its rows need at `limit` rows each, by a
+    hash of `spread_by`; the single matching row of the other side is repeated once per salt. Without
+    heavy keys this is the plain join and Spark chooses between broadcast and sort-merge by size.
     """
     if not heavy:
         return many.join(one, key, how)
     spark = many.sparkSession
-    limit = rows_per_task(spark)
+    limit = limit or rows_per_task(spark)
     salts = F.broadcast(
         spark.createDataFrame(
             [(k, ways(rows, limit)) for k, rows in heavy.items()],

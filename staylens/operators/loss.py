@@ -68,7 +68,11 @@ def in_trailing_window(journeys: DataFrame, months: int = 12) -> DataFrame:
 
 
 def loss_events(
-    journeys: DataFrame, bookings: DataFrame, users: DataFrame, heavy: dict[str, dict] | None = None
+    journeys: DataFrame,
+    bookings: DataFrame,
+    users: DataFrame,
+    heavy: dict[str, dict] | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """One classified row per journey, with the booking's outcome and price and the guest's tier.
 
@@ -79,8 +83,8 @@ def loss_events(
     outcome = bookings.select("booking_id", F.col("status").alias("booking_status"), "total_price")
     tiers = users.select("user_id", F.coalesce("loyalty_tier", F.lit("none")).alias("loyalty_tier"))
     each = F.col("conversation_id")
-    scoped = salted_join(journeys, outcome, "booking_id", each, heavy.get("booking_id", {}))
-    scoped = salted_join(scoped, tiers, "user_id", each, heavy.get("user_id", {}))
+    scoped = salted_join(journeys, outcome, "booking_id", each, heavy.get("booking_id", {}), limit=limit)
+    scoped = salted_join(scoped, tiers, "user_id", each, heavy.get("user_id", {}), limit=limit)
     return (
         scoped.withColumns(
             {

@@ -116,7 +116,7 @@ def at_risk_conversations(risk: DataFrame, conversations: DataFrame, limit: int
     """Conversations of the bookings in the top decile, with the booking's score."""
     top = risk.filter("is_top_risk_decile").select("booking_id", "cancellation_risk_score", "risk_percentile")
     heavy = heavy_keys(conversations, "booking_id", limit=limit)["booking_id"]
-    return salted_join(conversations, top, "booking_id", F.col("conversation_id"), heavy)
+    return salted_join(conversations, top, "booking_id", F.col("conversation_id"), heavy, limit=limit)
 
 
 def at_risk_concerns(at_risk: DataFrame, top: int = 5) -> DataFrame:

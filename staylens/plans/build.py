@@ -23,6 +23,15 @@ from staylens.sources.tables import SourceTables, read_sources, register_staging
 
 T = TypeVar("T")
 
+INTERMEDIATE = (
+    "booking_cancellation_risk",
+    "at_risk_conversations",
+    "at_risk_concerns",
+    "conversation_log",
+    "conversation_journeys",
+    "journey_parts",
+)
+
 
 def together(spark: SparkSession, jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent writes at the same time, so one fills the executors while another ends."""
@@ -61,7 +70,7 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     root = f"{root.rstrip('/')}/marts"
     heavy = loss.heavy_parties(src.conversations, limit=limit)
-    events = loss.loss_events(loss.in_trailing_window(stored_journeys), src.bookings, src.users, heavy)
+    events = loss.loss_events(loss.in_trailing_window(stored_journeys), src.bookings, src.users, heavy, limit)
     events = write_table(events, root, "loss_events", partition_by="activity_month")
     marts = {
         "loss_by_month_pattern": loss.loss_by_month_pattern,
@@ -90,6 +99,15 @@ def build_tables(src: SourceTables, root: str, limit: int | None = None) -> dict
     return built["risk"] | built["loss"]
 
 
+def register_layer_views(built: dict[str, DataFrame]) -> list[str]:
+    """Expose the stored tables to SQL users as temporary views, `int_...` and `mart_...` by layer."""
+    names = []
+    for name, df in built.items():
+        names.append(("int_" if name in INTERMEDIATE else "mart_") + name)
+        df.createOrReplaceTempView(names[-1])
+    return names
+
+
 def check_all(src: SourceTables, built: dict[str, DataFrame], root: str) -> DataFrame:
     """Run every declared check and store the results, one table per layer."""
     root = f"{root.rstrip('/')}/check_results"
@@ -167,6 +185,7 @@ def rebuild(
     src = src or read_sources(spark, source_root)
     register_staging_views(src)
     built = build_tables(src, out_root)
+    register_layer_views(built)
     checks = check_all(src, built, out_root)
     write_extracts(built, out_root)
     write_analyses(src, built, out_root)

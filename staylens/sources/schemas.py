@@ -79,12 +79,12 @@ INTENTS = [
 ]
 EXIT_INTENTS = ["cancellation_request", "refund_request"]
 COMPLAINT_INTENTS = [
+    "noise_complaint",
     "checkin_issue",
     "amenity_complaint",
-    "cleanliness_complaint",
-    "noise_complaint",
     "refund_request",
     "payment_issue",
+    "cleanliness_complaint",
     "host_unresponsive",
 ]
 PRAISE_INTENTS = ["positive_feedback"]

@@ -119,14 +119,24 @@ def test_stage_impact_equals_a_message_level_computation(spark):
             assert abs(row.avg_sentiment_score - r.s) < 1e-9 and abs(row.corr_sentiment_vs_risk - r.r) < 1e-9
 
 
+def document(folder):
+    """The parts of an extract put together."""
+    return json.loads("".join(p.read_text(encoding="utf-8") for p in sorted(folder.glob("part-*"))))
+
+
 def test_extract_file(spark, tmp_path, events):
     sinks.write_extract(extracts.monthly_totals(events), str(tmp_path), "totals")
-    (line,) = spark.read.text(str(tmp_path / "totals")).collect()
-    got = json.loads(line.value)
+    got = document(tmp_path / "totals")
     assert got["cols"][0] == "month" and got["rows"][0][:2] == ["2024-01", 400]
 
 
-def test_extract_refuses_a_large_table(spark):
-    with pytest.raises(ValueError):
-        sinks.to_extract(spark.range(11), max_rows=10)
-    assert len(sinks.to_extract(spark.range(10), max_rows=10)["rows"]) == 10
+def test_extract_is_one_document_at_any_size(spark, tmp_path):
+    df = spark.range(0, 210_000, 1, 7).selectExpr("id", "'\u2013\"' || id AS t", "IF(id % 2 = 0, NULL, id / 4) AS x", "DATE '2024-01-05' AS d")
+    sinks.write_extract(df, str(tmp_path), "large")
+    got = document(tmp_path / "large")
+    assert got["cols"] == ["id", "t", "x", "d"] and len(got["rows"]) == 210_000
+    assert got["rows"][:2] == [[0, '\u2013"0', None, "2024-01-05"], [1, '\u2013"1', 0.25, "2024-01-05"]]
+    assert [r[0] for r in got["rows"]] == list(range(210_000))
+    assert sinks.read_extract(spark, str(tmp_path), "large", df.schema).exceptAll(df).count() == 0
+    sinks.write_extract(df.limit(0), str(tmp_path), "empty")
+    assert document(tmp_path / "empty") == {"cols": ["id", "t", "x", "d"], "rows": []}
