@@ -36,27 +36,31 @@ def key_table(df: DataFrame, column: str, values: list) -> DataFrame:
 def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[str, dict]:
     """Per column, the values with more than `limit` rows, with their row counts.
 
-    One pass builds a frequent-items sketch per column inside the tasks, so nothing is shuffled by
-    key. Its error is below 4 rows in SKETCH_ENTRIES; while that is under `limit`, it names every heavy
-    key, and a second pass counts those exactly. On a table beyond the sketch's reach all keys are
-    counted, combined before the shuffle.
+    A table of at most `limit` rows has none. Otherwise one pass builds a frequent-items sketch per
+    column inside the tasks, so nothing is shuffled by key. Its error is below 4 rows in
+    SKETCH_ENTRIES; while that is under `limit`, it names every heavy key, and a second pass counts
+    those exactly. On a table beyond the sketch's reach all keys are counted, combined before the
+    shuffle.
     """
     limit = limit or rows_per_task(df.sparkSession)
-    top = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.expr(f"filter(approx_top_k(`{c}`, {SKETCH_KEYS}, {SKETCH_ENTRIES}), i -> i.item IS NOT NULL)").alias(c) for c in columns],
-    ).first()
-    rows = top["_rows"]
+    rows = df.count()
+    if rows <= limit:
+        return {c: {} for c in columns}
     in_reach = 4 * rows <= limit * SKETCH_ENTRIES and rows <= limit * SKETCH_KEYS
+    # A sketched count is never too low.
+    frequent = "transform(filter(approx_top_k(`{c}`, {k}, {n}), i -> i.item IS NOT NULL AND i.count > {limit}), i -> i.item)"
+    top = (
+        df.agg(*[F.expr(frequent.format(c=c, k=SKETCH_KEYS, n=SKETCH_ENTRIES, limit=limit)).alias(c) for c in columns]).first()
+        if in_reach
+        else None
+    )
     heavy: dict[str, dict] = {c: {} for c in columns}
     for c in columns:
         named = df.filter(F.col(c).isNotNull())
-        if in_reach:
-            # A sketched count is never too low.
-            candidates = [i["item"] for i in top[c] or [] if i["count"] > limit]
-            if not candidates:
+        if top is not None:
+            if not top[c]:
                 continue
-            named = df.join(F.broadcast(key_table(df, c, candidates)), c, "left_semi")
+            named = df.join(F.broadcast(key_table(df, c, top[c])), c, "left_semi")
         counted = named.groupBy(c).count().filter(F.col("count") > limit)
         heavy[c] = {r[c]: r["count"] for r in counted.collect()}
     return heavy
