@@ -103,22 +103,37 @@ class Written(WriterCommitMessage):
     files: list[str]
 
 
-class _Plain:
-    """The records of an archive that is not compressed."""
+class _Records:
+    """The records of an archive one by one; `data` is what has been read of the present one."""
 
     def __init__(self, file: pa.NativeFile) -> None:
-        self.file, self.at = file, 0
+        self.file, self.at, self.data = file, 0, b""
+
+    def _further(self) -> bool:
+        """Read about as much again as there is of the record; False at its end."""
+        raise NotImplementedError
+
+    def block_start(self, head: int, length: int) -> bytes:
+        """The block at least as far as its first blank line, or all of it where it has none."""
+        while b"\r\n\r\n" not in self.data[head : head + length] and len(self.data) < head + length and self._further():
+            pass
+        return self.data[head : head + length]
+
+
+class _Plain(_Records):
+    """The records of an archive that is not compressed."""
 
     def head(self) -> bytes | None:
         self.file.seek(self.at)
-        data = self.file.read(HEAD_BYTES)
-        while data.strip(b"\r\n") and b"\r\n\r\n" not in data:
-            more = self.file.read(HEAD_BYTES)
-            if not more:
-                break
-            data += more
-        self.data = data
-        return data.split(b"\r\n\r\n", 1)[0] if data.strip(b"\r\n") else None
+        self.data = self.file.read(HEAD_BYTES)
+        while self.data.strip(b"\r\n") and b"\r\n\r\n" not in self.data and self._further():
+            pass
+        return self.data.split(b"\r\n\r\n", 1)[0] if self.data.strip(b"\r\n") else None
+
+    def _further(self) -> bool:
+        more = self.file.read(max(HEAD_BYTES, len(self.data)))
+        self.data += more
+        return bool(more)
 
     def block(self, head: int, length: int) -> bytes:
         self.file.seek(self.at + head)
@@ -128,25 +143,27 @@ class _Plain:
         self.at += head + length + 4
 
 
-class _Gzip:
+class _Gzip(_Records):
     """The records of an archive with one gzip member per record."""
 
-    def __init__(self, file: pa.NativeFile) -> None:
-        self.file, self.at = file, 0
-
     def head(self) -> bytes | None:
         self.file.seek(self.at)
         self.raw = self.file.read(HEAD_BYTES)
         if not self.raw:
             return None
         self.length = struct.unpack("<I", self.raw[16:20])[0] if self.raw[3] & 4 and self.raw[12:14] == b"sl" else None
-        self.inflate, self.data = zlib.decompressobj(31), b""
-        more = self.raw
-        while more and b"\r\n\r\n" not in self.data:
-            self.data += self.inflate.decompress(more, HEAD_BYTES)
-            more = self.inflate.unconsumed_tail or self._more()
+        self.inflate = zlib.decompressobj(31)
+        self.data = self.inflate.decompress(self.raw, HEAD_BYTES)
+        while b"\r\n\r\n" not in self.data and self._further():
+            pass
         return self.data.split(b"\r\n\r\n", 1)[0]
 
+    def _further(self) -> bool:
+        # What is fetched is inflated at once: a later step goes on from the unconsumed tail alone.
+        more = self.inflate.unconsumed_tail or self._more()
+        self.data += self.inflate.decompress(more, max(HEAD_BYTES, len(self.data)))
+        return bool(more)
+
     def _more(self) -> bytes:
         if self.inflate.eof:
             return b""
@@ -176,7 +193,10 @@ class _Gzip:
 
 
 class WarcReader(DataSourceReader):
-    """payload option: read (default), skip (the column is null), or verify (checked against its digest, then null)."""
+    """payload option: read (default), skip (the column is null), or verify (checked against its digest, then null).
+
+    payload_bytes is the same with each: the payload's length, for a revisit the one its HTTP header tells or null.
+    """
 
     def __init__(self, options: dict) -> None:
         self.path, self.payload = options["path"], options.get("payload", "read")
@@ -233,11 +253,15 @@ class WarcReader(DataSourceReader):
 
     def _payload(self, source: _Gzip | _Plain, fields: dict, values: dict, start: int, length: int) -> tuple[int | None, bytes | None]:
         http = fields.get(b"content-type", b"").startswith(b"application/http")
-        if self.payload == "skip" or (values["record_type"] == "revisit" and b"\r\n\r\n" in source.data[start:]):
-            # The HTTP header is enough: it lies beside the WARC header.
-            lines = source.data[start:].split(b"\r\n\r\n", 1)[0].lower().split(b"\r\n") if http else []
-            told = [int(x.partition(b":")[2]) for x in lines if x.startswith(b"content-length:")]
-            return (told[0] if told else None if http else length), None
+        if values["record_type"] == "revisit":
+            # It has no payload to read or verify; its HTTP header tells the length of the one it stands for.
+            lines = source.block_start(start, length).split(b"\r\n\r\n", 1)[0].lower().split(b"\r\n") if http else []
+            told = [x.partition(b":")[2].strip() for x in lines if x.startswith(b"content-length:")]
+            return (int(told[0]) if told and told[0].isdigit() else None), None
+        if self.payload == "skip":
+            # The HTTP header is enough: what follows it in the block is the payload.
+            header, blank, _ = source.block_start(start, length).partition(b"\r\n\r\n") if http else (b"", b"", b"")
+            return length - (len(header) + len(blank) if blank else 0), None
         block = source.block(start, length)
         body = block.split(b"\r\n\r\n", 1)[-1] if http else block
         if self.payload == "verify":

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on rows with nulls, empty and long texts, ties, repeats and clashing columns."""
 
 import base64
+import gzip
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -175,6 +176,32 @@ def test_plain_warc(spark, tmp_path):
     assert read.filter("record_id = '<urn:page:3>'").first().payload_bytes == 3
 
 
+@pytest.mark.parametrize("kind", ["sl", "gzip", "stored", "plain"])
+def test_warc_header_cut_by_a_step(tmp_path, kind):
+    """HTTP headers that begin or end anywhere about a multiple of the step in which headers are read."""
+    noise = RND.randbytes(3 * warc.HEAD_BYTES)
+    data, want = b"", []
+    pack = {"sl": warc.gzip_member, "gzip": gzip.compress, "stored": lambda r: gzip.compress(r, 0), "plain": bytes}[kind]
+    for n in range(3600, 3801):
+        for record_type, refers_to in (("response", None), ("revisit", "<urn:page:1>")):
+            payload = noise[: 9000 + n]
+            data += pack(warc.record(record_type, f"<urn:page:{len(want)}>", "u" * n, payload, refers_to, warc.DATE))
+            want.append((f"<urn:page:{len(want)}>", len(payload), payload if refers_to is None else None))
+    path = tmp_path / ("x.warc" if kind == "plain" else "x.warc.gz")
+    path.write_bytes(data)
+    for mode in ("read", "skip", "verify"):
+        got = list(warc.WarcReader({"path": str(tmp_path), "payload": mode})._records(str(path)))
+        assert [(r[3], r[-2], r[-1]) for r in got] == [(i, size, payload if mode == "read" else None) for i, size, payload in want]
+
+
+def test_warc_long_urls(spark, tmp_path):
+    pages = [(2 * n + i, "u" * n, f"page {n}") for n in range(3600, 3801) for i in (0, 1)]
+    folder = warc.archived(spark.createDataFrame(pages, "page_id long, url string, html string"), str(tmp_path / "w"))
+    for mode in ("read", "skip", "verify"):
+        read = spark.read.format("warc").option("payload", mode).load(folder)
+        assert Counter((r.record_type, r.payload_bytes) for r in read.collect()) == Counter({("response", 9): 201, ("revisit", 9): 201})
+
+
 def test_toxicity(spark, docs, none):
     rnd = random.Random(2)
     plain = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
