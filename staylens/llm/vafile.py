@@ -41,11 +41,14 @@ def whole_numbers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 def _entries(numbers: DataFrame, k: int) -> DataFrame:
-    """(entry, dims, v, ids): one row per different vector, with its k + 1 smallest different ids."""
+    """(entry, dims, v, ids): one row per different vector, with its k + 1 smallest different ids.
+
+    `entry` is a number of its own, as one id may stand in several rows; it holds once the rows are stored.
+    """
     ordered = Window.partitionBy("v").orderBy("vec_id")
     ranked = numbers.withColumn("rank", F.dense_rank().over(ordered)).filter(F.col("rank") <= k + 1)
     return ranked.groupBy("v").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")).select(
-        F.col("ids")[0].alias("entry"), F.size("v").alias("dims"), "v", "ids"
+        F.monotonically_increasing_id().alias("entry"), F.size("v").alias("dims"), "v", "ids"
     )
 
 
@@ -79,14 +82,20 @@ def _bounds(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                 cells = np.stack([np.frombuffer(x, dtype=np.uint8) for x in b.column("cells")[i].as_py()])
                 queries = _matrix(b.column("q"), i, dims).astype(np.float64)
                 middle = queries @ (low + (cells + 0.5) * width).T
+                # An entry of the query's id alone gives no row, and there may be any number of them.
+                sole = b.column("sole")[i].values
+                single, sole = sole.is_valid().to_numpy(zero_copy_only=False), sole.fill_null(0).to_numpy()
+                at = np.minimum(np.searchsorted(ids, sole), len(ids) - 1)
+                own = np.flatnonzero(single & (ids[at] == sole))
+                middle[at[own], own] = -np.inf
                 # Half a cell per dimension, and room for the rounding of the sums.
                 slack = np.abs(queries) @ (width / 2)
                 slack += 1e-9 * (np.abs(queries) @ (np.abs(low) + CELLS * width)) + 1
                 if middle.shape[1] > k + 1:
                     kth = np.partition(middle, -(k + 1), axis=1)[:, -(k + 1)]
-                    keep = middle >= (kth - 2 * slack)[:, None]
+                    keep = (middle >= (kth - 2 * slack)[:, None]) & (middle > -np.inf)
                 else:
-                    keep = np.ones(middle.shape, dtype=bool)
+                    keep = middle > -np.inf
                 q, e = np.nonzero(keep)
                 yield pa.record_batch(
                     [pa.array(ids[q]), pa.array(entries[e]), pa.array(middle[q, e] + slack[q]), pa.array(middle[q, e] - slack[q])],
@@ -146,10 +155,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCAL
     # One byte per dimension, as the two hex digits of the cell.
     cells = F.unhex(F.array_join(F.transform(cell, lambda c: F.lpad(F.hex(c.cast("bigint")), 2, "0")), ""))
     n_blocks, n_query_blocks = -(-size // block_vectors), -(-n_asked // block_queries)
-    approximate = entries.join(grid, "dims").select("dims", "entry", cells.alias("cells"), F.pmod(F.xxhash64("entry"), F.lit(max(1, n_blocks))).alias("block"))
+    approximate = entries.join(grid, "dims").select("dims", "entry", F.when(F.size("ids") == 1, F.col("ids")[0]).alias("sole"), cells.alias("cells"), F.pmod(F.xxhash64("entry"), F.lit(max(1, n_blocks))).alias("block"))
     asked_blocks = _blocks(asked.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(max(1, n_query_blocks)))), "query_block", ["query_id", "q"])
     spread = asked_blocks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(0, n_blocks - 1)).cast("bigint"))))
-    pairs = _blocks(approximate, "block", ["entry", "cells"]).join(spread, ["dims", "block"]).join(grid, "dims")
+    pairs = _blocks(approximate, "block", ["entry", "sole", "cells"]).join(spread, ["dims", "block"]).join(grid, "dims")
     dealt = pairs.repartition("block", "query_block")
     bounded = dealt.mapInArrow(_bounds(k), "query_id bigint, entry bigint, most double, least double")
     by_query = Window.partitionBy("query_id")

@@ -57,6 +57,27 @@ def test_vector_search(spark):
     assert vafile.top_k(table.limit(0), asked.limit(0)).count() == 0
 
 
+def test_vector_search_with_repeated_ids(spark):
+    """Ids with two vectors, with vectors of two lengths, and one with more vectors of its own than neighbours asked for."""
+    rng = np.random.default_rng(4)
+    made = [(i, rng.integers(-9, 9, 4).tolist()) for i in range(40)]
+    made += [(i, rng.integers(-9, 9, 4).tolist()) for i in range(0, 40, 2)]
+    made += [(i, rng.integers(-9, 9, 3).tolist()) for i in range(0, 40, 3)]
+    made += [(10, [90 + j, 90, 90, 90]) for j in range(12)] + [(11, made[12][1]), made[13]]
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in made], "vec_id long, embedding array<double>")
+    asked = table.filter("vec_id % 5 = 0 or vec_id = 11")
+    entries = {(i, tuple(v)) for i, v in made}
+    for block in (8, 1 << 14):
+        got = defaultdict(list)
+        for r in vafile.top_k(table, asked, k=4, scale=1, block_vectors=block, block_queries=4).collect():
+            got[r.query_id].append((r["rank"], r.vec_id, r.score))
+        assert set(got) == {*range(0, 40, 5), 11}
+        for q in got:
+            own = min(v for i, v in entries if i == q)
+            best = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in entries if i != q and len(v) == len(own))[:4]
+            assert sorted(got[q]) == [(n, i, -s) for n, (s, i) in enumerate(best, 1)]
+
+
 def test_tier_packing(docs, none, rows):
     path = tokens.word_vocabulary()
     pieces = tiers.packed(docs, path, tiers=(64, 32, 16), pool_tokens=300).collect()
