@@ -92,13 +92,14 @@ def mixed(docs: DataFrame, weighted: DataFrame | None = None, seed: int = SEED)
     """
     # Written first, so that Spark knows its size: few sources are broadcast and the texts stay where they are.
     table = stored(rates(weighted if weighted is not None else tempered_weights(source_sizes(docs))))
-    own = [docs[c] for c in docs.columns if c not in ("copy", "copies", "shuffle_key")]
-    digest = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    drawn = docs.join(table, docs["source"].eqNullSafe(table["mix_source"])).select(
-        *own, "least", "below", digest.alias("_digest"), settled((_draw_bits(F.lit(seed), docs["doc_id"], digest) + 0.5) / float(1 << 52)).alias("_u")
+    # The input travels as one column, so that its names never meet those made here.
+    own = [docs[c] for c in docs.columns if c.lower() not in ("copy", "copies", "shuffle_key")]
+    rows = docs.select(F.struct(*own).alias("_row"))
+    digest = F.md5(F.coalesce(F.col("_row.text").cast("string"), F.lit("")))
+    drawn = rows.join(table, F.col("_row.source").eqNullSafe(table["mix_source"])).select(
+        "_row", "least", "below", digest.alias("_digest"), settled((_draw_bits(F.lit(seed), F.col("_row.doc_id"), digest) + 0.5) / float(1 << 52)).alias("_u")
     )
     counted = drawn.withColumn("copies", F.col("least") + F.size(F.filter("below", lambda p: p <= F.col("_u"))))
-    names = [c for c in docs.columns if c not in ("copy", "copies", "shuffle_key")]
-    copies = counted.filter("copies > 0").select(*names, "copies", "_digest", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"))
-    keyed = copies.withColumn("shuffle_key", _draw_bits(F.lit(seed + 1), F.col("doc_id"), F.col("_digest"), F.col("copy")))
-    return keyed.select(*names, "copy", "copies", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    copies = counted.filter("copies > 0").select("_row", "copies", "_digest", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"))
+    keyed = copies.withColumn("shuffle_key", _draw_bits(F.lit(seed + 1), F.col("_row.doc_id"), F.col("_digest"), F.col("copy")))
+    return keyed.select("_row", "copy", "copies", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key").select("_row.*", "copy", "copies", "shuffle_key")

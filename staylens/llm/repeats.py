@@ -264,11 +264,13 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         .agg(F.collect_set(F.struct("start", "n")).alias("parts"))
         .mapInArrow(_merged(width), "_key bigint, repeat_spans array<struct<start: bigint, end: bigint>>")
     )
-    data = F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")
-    own = [docs[c] for c in docs.columns if c not in ("repeat_spans", "kept")]
+    # The input travels as one column, so that its names never meet those made here.
+    own = [docs[c] for c in docs.columns if c.lower() not in ("repeat_spans", "kept")]
+    rows = docs.select(row_key(docs).alias("_own_key"), F.struct(*own).alias("_row"))
+    data = F.coalesce(F.col("_row.text").cast("string"), F.lit("")).cast("binary")
     spans = F.coalesce(merged["repeat_spans"], F.array().cast("array<struct<start: bigint, end: bigint>>"))
-    joined = docs.join(merged, row_key(docs) == merged["_key"], "left").select(*own, spans.alias("repeat_spans"), data.alias("_data"))
-    return joined.withColumn("kept", _kept("_data", "repeat_spans")).drop("_data")
+    joined = rows.join(merged, rows["_own_key"] == merged["_key"], "left").select("_row", spans.alias("repeat_spans"), data.alias("_data"))
+    return joined.select("_row.*", "repeat_spans", _kept("_data", "repeat_spans").alias("kept"))
 
 
 def kept_text(text: Column, repeat_spans: Column) -> Column:

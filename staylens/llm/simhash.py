@@ -168,5 +168,7 @@ def hex_digits(fp: F.Column) -> F.Column:
 def one_of_each(docs: DataFrame, **options: int) -> DataFrame:
     """`docs` with one row per class, all its columns kept. Of rows that repeat id and text one stays."""
     heads = near_classes(docs, **options).filter("kept").select(F.col("row_key").alias("_head")).distinct()
-    kept = docs.join(heads, row_key(docs) == heads["_head"])
-    return kept.groupBy("_head").agg(F.min(F.struct(*[kept[c] for c in docs.columns])).alias("_row")).select("_row.*")
+    # The input travels as one column, so that its names never meet those made here.
+    rows = docs.select(row_key(docs).alias("_own_key"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    kept = rows.join(heads, rows["_own_key"] == heads["_head"])
+    return kept.groupBy("_head").agg(F.min("_row").alias("_row")).select("_row.*")

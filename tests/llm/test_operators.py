@@ -156,6 +156,26 @@ def test_mixing(spark, docs, none, rows):
     assert mixing.mixed(none).count() == 0
 
 
+CLASHES = ["least", "below", "_u", "_digest", "_data", "_head", "_key", "_own_key", "_row", "rate", "mix_source", "row_key", "root", "fp"]
+
+
+def test_clashing_columns(docs):
+    """Extra columns with names that the operators use inside come out as they went in."""
+    wide = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHES})
+
+    def right(out, names):
+        return out.columns == names and all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in out.collect() for c in CLASHES)
+
+    def without(*new):
+        return [c for c in wide.columns if c not in new]
+
+    mix, cut, heads = mixing.mixed(wide), repeats.without_repeats(wide), simhash.one_of_each(wide)
+    assert right(mix, [*without("copies"), "copy", "copies", "shuffle_key"])
+    assert right(cut, [*without("kept"), "repeat_spans", "kept"]) and right(heads, wide.columns)
+    assert Counter((r.doc_id, r.copy, r.shuffle_key) for r in mix.collect()) == Counter((r.doc_id, r.copy, r.shuffle_key) for r in mixing.mixed(docs).collect())
+    assert Counter((r.doc_id, bytes(r.kept)) for r in cut.collect()) == Counter((r.doc_id, bytes(r.kept)) for r in repeats.without_repeats(docs).collect())
+
+
 @pytest.mark.parametrize("width", [200, 40])
 def test_repeats(docs, none, rows, width):
     data = [(r[1] or "").encode() for r in rows]
