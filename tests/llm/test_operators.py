@@ -313,6 +313,18 @@ def test_components(spark):
     assert {r.node: r.root for r in got} == {**{i: 0 for i in range(31)}, 99: 99, 100: 99}
 
 
+def test_pipeline_stages_keep_clashing_columns(spark, docs):
+    import corpus_pipeline
+
+    wide = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in ("kept", "repeat_spans", "copy", "copies", "shuffle_key", "_rest", "_row")})
+    narrow = docs.select("text", "source", "doc_id")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, "")
+        assert out.columns == wide.columns
+        assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in out.collect() for c in wide.columns[9:] + ["kept", "copies"])
+        assert stage(spark, narrow, "").columns == narrow.columns and stage(spark, narrow.limit(0), "").count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
