@@ -215,10 +215,10 @@ def _windows(toxic_features: set[str]) -> Callable[[Iterator[pa.RecordBatch]], I
     return cut
 
 
-SCORED = "doc_id bigint, any_toxic double, many_toxic double, spans array<struct<start: bigint, end: bigint, probability: double>>"
+SCORED = "any_toxic double, many_toxic double, spans array<struct<start: bigint, end: bigint, probability: double>>"
 
 
-def _scorer(field: Field) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scorer(field: Field, carried: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
     def spans(text: str, odds: np.ndarray) -> list[dict]:
@@ -269,7 +269,7 @@ def _scorer(field: Field) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 many[i] = math.log1p(float((1 / (1 + np.exp(-np.clip(own, -50, 50)))).sum()))
                 if len(own) and own.max() > 0:
                     found_spans[i] = spans(texts[i], own)
-            yield pa.record_batch([b.column("doc_id"), pa.array(any_), pa.array(many), pa.array(found_spans, spans_type)], ["doc_id", "any_toxic", "many_toxic", "spans"])
+            yield pa.record_batch([b.column(carried), pa.array(any_), pa.array(many), pa.array(found_spans, spans_type)], [carried, "any_toxic", "many_toxic", "spans"])
 
     return score
 
@@ -281,14 +281,17 @@ def _texts(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMENTS, windows: int = WINDOWS) -> Field:
     """Learn from the rows of `labels` (doc_id, toxic) that are not held out. Only ids and the toxic mark are read.
 
-    Null labels and ids count for nothing; a document labelled twice is toxic if either label says so.
+    Null labels and ids count for nothing; a document labelled twice is toxic if either label says so. Of
+    rows that share an id the smallest text is learned from.
     Without labels, or with labels of one kind, the field knows nothing and scores all documents alike.
     """
     known = labels.filter("doc_id is not null and toxic is not null").select(labels["doc_id"].cast("bigint").alias("doc_id"), labels["toxic"].cast("bigint").alias("toxic"))
     known = known.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents)
     # At most train_documents pairs of numbers.
-    named = _texts(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(_signatures, "doc_id bigint, text string, toxic bigint, signature bigint")
+    # One text of each id, counted down inside the tasks: no id brings more rows than another.
+    named = _texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    named = named.mapInArrow(_signatures, "doc_id bigint, text string, toxic bigint, signature bigint")
     # Copies would make any of their words look toxic; one text of each group of at most train_documents rows stays.
     first = F.row_number().over(Window.partitionBy("signature").orderBy(F.desc("toxic"), "doc_id", "text"))
     sample = stored(named.withColumn("place", first).filter("place = 1").select("doc_id", "text", "toxic"))
@@ -296,8 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMEN
     cut = sample.mapInArrow(_windows(toxic_features), "place bigint, words array<string>, tags array<bigint>")
     tagged = [(r["words"], r["tags"]) for r in cut.orderBy("place", "words").limit(windows).collect()]
     field = train(tagged)
-    scored = _texts(sample).mapInArrow(_scorer(field), SCORED).select("doc_id", "any_toxic", "many_toxic").join(sample.select("doc_id", "toxic"), "doc_id")
-    rows = scored.select("any_toxic", "many_toxic", "toxic").collect()
+    rows = sample.mapInArrow(_scorer(field, "toxic"), f"toxic bigint, {SCORED}").select("any_toxic", "many_toxic", "toxic").collect()
     if rows:
         x = np.array([(r[0], r[1]) for r in rows], dtype=np.float64)
         field.logistic = _fit_logistic(x, np.array([float(r[2]) for r in rows]))
@@ -311,7 +313,7 @@ def scored(docs: DataFrame, field: Field, threshold: float = 0.7) -> DataFrame:
     highest probability. Null and empty texts get the score of a text without words; rows that repeat a
     text get the same score; null ids stay and are not held out. An empty table gives no rows.
     """
-    found = _texts(docs).mapInArrow(_scorer(field), SCORED)
+    found = _texts(docs).mapInArrow(_scorer(field, "doc_id"), f"doc_id bigint, {SCORED}")
     a, b, c = field.logistic
     score = 1 / (1 + F.exp(-(a + b * F.col("any_toxic") + c * F.col("many_toxic"))))
     return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), score.alias("score"), "spans").select(

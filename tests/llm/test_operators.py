@@ -264,6 +264,19 @@ def test_toxicity(spark, docs, none):
     assert toxicity.scored(none, toxicity.fit(none, train.limit(0).select("doc_id", "toxic"))).count() == 0
 
 
+def test_toxicity_learns_one_text_per_id(spark, monkeypatch):
+    """An id with many texts brings one of them to the fit, and no square of its rows to the driver."""
+    made = [(1 + 1000 * (i > 200), f"text number {i} of many words, {RND.choice(BASE)[:60]}") for i in range(260)] + [(2 * i, BASE[i] + " scum") for i in range(1, 6)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in {i for i, _ in made}], "doc_id long, toxic int")
+    want = {i: min(t for j, t in made if j == i) for i, _ in made}
+    seen, fitted, features_of = [], [], toxicity._toxic_features
+    monkeypatch.setattr(toxicity, "held_out", lambda doc_id: F.lit(False))
+    monkeypatch.setattr(toxicity, "_toxic_features", lambda sample: seen.extend(sample.collect()) or features_of(sample))
+    monkeypatch.setattr(toxicity, "_fit_logistic", lambda x, y: fitted.append(len(x)) or (0.0, 0.0, 0.0))
+    toxicity.fit(spark.createDataFrame(made, "doc_id long, text string"), labels, train_documents=20)
+    assert {r.doc_id: r.text for r in seen} == want and len(seen) == len(want) and fitted == [len(want)]
+
+
 def test_rules(docs, none, rows):
     judged = rules.judged(docs).collect()
     assert len(judged) == len(rows)
