@@ -8,7 +8,9 @@ features and of the four transitions. Forward and backward passes give each word
 document's score is a logistic function of the chance that any of its words is toxic and of how many are.
 
 Fitting takes at most TRAIN_DOCUMENTS labelled documents and WINDOWS windows, the ones with the least
-hash of their id; scoring covers all documents with all their words.
+hash of their id; scoring covers all documents with all their words. Windows of a toxic document are
+those that hold a toxic feature; a clean one gives two per block of BLOCK_CHARS characters, at the block's
+first word and at its middle.
 """
 
 from __future__ import annotations
@@ -154,17 +156,21 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A min-hash over three-word windows: near copies mostly share it, other texts hardly ever do."""
+    """A min-hash over three-word windows: near copies mostly share it, other texts hardly ever do.
+
+    A text of fewer words has no window; it has the hash of all its words.
+    """
     for b in batches:
         found = []
         for text in b.column("text").to_pylist():
-            least, tail = (1 << 63) - 1, []
+            least, tail = None, []
             for _, block in words(text or ""):
                 block = tail + block
                 for gram in zip(block, block[1:], block[2:], strict=False):
-                    least = min(least, xxhash.xxh64_intdigest(" ".join(gram)) >> 1)
+                    hashed = xxhash.xxh64_intdigest(" ".join(gram)) >> 1
+                    least = hashed if least is None else min(least, hashed)
                 tail = block[-2:]
-            found.append(least)
+            found.append(xxhash.xxh64_intdigest(" ".join(tail)) >> 1 if least is None else least)
         yield b.append_column("signature", pa.array(found, pa.int64()))
 
 

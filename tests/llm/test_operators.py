@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -264,6 +265,13 @@ def test_toxicity(spark, docs, none):
     assert toxicity.scored(none, toxicity.fit(none, train.limit(0).select("doc_id", "toxic"))).count() == 0
 
 
+def test_toxicity_tells_short_texts_apart():
+    texts = ["one", "two words", "words two", "moron", "", None, "one, two, three", "One two three", "one two three"]
+    (batch,) = toxicity._signatures(iter([pa.record_batch([pa.array(texts, pa.string())], ["text"])]))
+    found = batch.column("signature").to_pylist()
+    assert len(set(found[:5])) == 5 and found[4] == found[5] and found[6] == found[8] != found[7]
+
+
 def test_toxicity_learns_one_text_per_id(spark, monkeypatch):
     """An id with many texts brings one of them to the fit, and no square of its rows to the driver."""
     made = [(1 + 1000 * (i > 200), f"text number {i} of many words, {RND.choice(BASE)[:60]}") for i in range(260)] + [(2 * i, BASE[i] + " scum") for i in range(1, 6)]
