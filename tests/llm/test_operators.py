@@ -3,7 +3,9 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -346,6 +348,119 @@ def test_pipeline_stages_keep_clashing_columns(spark, docs):
         assert stage(spark, narrow, "").columns == narrow.columns and stage(spark, narrow.limit(0), "").count() == 0
 
 
+def slow_passing(text):
+    words = [w for w in re.split(r"[ \t-\r]+", text or "") if w]
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^ \t-\r]", x)]
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)}
+
+    def share(count, base, low=None, high=None):
+        return (low is None or 100 * count >= low * base) and (high is None or 100 * count <= high * base)
+
+    return (
+        len(words) >= 50
+        and share(len(covered), len(words), high=50)
+        and share(sum(map(len, words)), len(words), 200, 1200)
+        and share(sum(text.count(c) for c in "#*$%&|<>"), len(words), high=10)
+        and share(text.count("!"), len(words), high=20)
+        and share(sum(w.lower() in rules.STOP_WORDS for w in words), len(words), low=3)
+        and share(len(lines) - len(set(lines)), len(lines), high=50)
+        and share(sum(bool(re.match(r"[ \t-\r]*[-*•]", x)) for x in lines), len(lines), high=90)
+        and share(sum(bool(re.search(r"(\.\.\.|…)[ \t-\r]*$", x)) for x in lines), len(lines), high=30)
+    )
+
+
+def slow_one_of_each(rows):
+    """The smallest id of each class; ids are not null and come with one text each."""
+    left, heads = dict(rows), []
+    prints = {i: slow_fingerprint(r[1]) for i, r in left.items()}
+    while left:
+        near, todo = set(), [min(left)]
+        while todo:
+            i = todo.pop()
+            near.add(i)
+            todo += [j for j in left if j not in near and j not in todo and (prints[i] ^ prints[j]).bit_count() <= 2]
+        heads.append(left[min(near)])
+        left = {i: r for i, r in left.items() if i not in near}
+    return heads
+
+
+def slow_kept_texts(rows, width=200):
+    data = [r[1].encode() for r in rows]
+    starts = Counter(b[i : i + width] for b in data for i in range(len(b) - width + 1))
+    out = []
+    for r, b in zip(rows, data):
+        gone = bytearray(len(b))
+        for i in range(len(b) - width + 1):
+            if starts[b[i : i + width]] > 1:
+                gone[i : i + width] = b"\1" * width
+        runs, last = [b""], 0
+        for x, g in zip(b, gone):
+            if g and not last:
+                runs.append(b"")
+            elif not g:
+                runs[-1] += bytes([x])
+            last = g
+        out.append((r[0], "".join(x.decode("utf-8", "ignore") for x in runs), r[2]))
+    return out
+
+
+def slow_copies(rows):
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.encode()) + 1
+    roots = sum(s**0.5 for s in sizes.values())
+    copies = []
+    for i, text, source in rows:
+        rate = sizes[source] ** 0.5 / roots * sum(sizes.values()) / sizes[source]
+        u = (int(hashlib.md5(f"{mixing.SEED}:{i}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        n, chance = 0, math.exp(-rate)
+        below = chance
+        while below <= u:
+            n += 1
+            chance *= rate / n
+            below += chance
+        copies += [(i, text)] * n
+    return copies
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(11)
+
+    def prose(n):
+        return " ".join("the" if rnd.random() < 0.2 else "".join(rnd.choice("abcdefghé") for _ in range(6)) for _ in range(n))
+
+    passage = prose(60)
+    made = [prose(rnd.randint(55, 160)) for _ in range(40)]
+    made += [made[3], made[4] + " x", prose(60) + " é" + passage + "é " + prose(60), prose(60) + " è" + passage + "è " + prose(60)]
+    made += [None, "", "too short", prose(60) + " !" * 40, prose(60) + " #" * 30, "zzz yyy xxx " * 60, prose(10) + ("\n" + prose(9)) * 9, " ".join(prose(80).replace("the", "qqq").split())]
+    rows = [(i, t, None if i % 7 == 0 else "abc"[i % 5 % 3]) for i, t in enumerate(made, 1)]
+    rows.append(rows[7])
+    made_docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    made_docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+
+    passed = [r for r in rows if slow_passing(r[1])]
+    heads = slow_one_of_each((r[0], r) for r in passed)
+    cut = slow_kept_texts(heads)
+    mix = slow_copies(cut)
+    # Each stage has something to do here.
+    assert len(rows) > len(passed) > len(heads) and any(a[1] != b[1] for a, b in zip(heads, cut)) and len(set(mix)) < len(cut) and len(mix) > len(set(mix))
+    library = Tokenizer.from_file(tokens.word_vocabulary())
+    want = Counter()
+    for i, text in mix:
+        want.update((i, at, x) for at, x in enumerate([*library.encode(text, add_special_tokens=False).ids, tiers.END_ID]))
+    got = Counter()
+    for p in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got.update((p.doc_id, p.start + at, x) for at, x in enumerate(np.frombuffer(p.ids, "<u4").tolist()))
+    assert got == want
+    short = corpus_pipeline.suffix_dedup(spark, made_docs.filter("text is not null").dropDuplicates(["doc_id"]), "").collect()
+    brute = slow_kept_texts([r for r in dict((r[0], r) for r in rows).values() if r[1] is not None])
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in short) == sorted((i, t, len(t)) for i, t, _ in brute)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
