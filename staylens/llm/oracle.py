@@ -85,4 +85,20 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE_SQL = {"op1_vector_approximation": VECTOR_APPROXIMATION, "op5_poisson_mix": POISSON_MIX, "op9_quality_rules": QUALITY_RULES}
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, line, place, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+),
+owners AS (
+  SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+),
+judged AS (SELECT lines.*, owner IS NOT NULL AND owner <> doc_id AS gone FROM lines LEFT JOIN owners USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+ORACLE_SQL = {"op1_vector_approximation": VECTOR_APPROXIMATION, "op5_poisson_mix": POISSON_MIX, "op9_quality_rules": QUALITY_RULES, "op11_line_dedup": LINE_DEDUP}

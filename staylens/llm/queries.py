@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import bestfit, mixing, repeats, rules, shards, simhash, tiers, tokens, toxicity, vafile, warc
+from staylens.llm import bestfit, lines, mixing, repeats, rules, shards, simhash, tiers, tokens, toxicity, vafile, warc
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -84,6 +84,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = lines.keep_bitmaps(_table(spark, sf_dir, "documents"))
+    kept = lines.kept_lines(F.col("text"), F.col("n_lines"), F.col("keep"))
+    return judged.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_approximation": op1_vector_approximation,
     "op2_tier_packing": op2_tier_packing,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxic_spans": op8_toxic_spans,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_line_dedup": op11_line_dedup,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
