@@ -101,4 +101,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op1_vector_approximation": VECTOR_APPROXIMATION, "op5_poisson_mix": POISSON_MIX, "op9_quality_rules": QUALITY_RULES, "op11_line_dedup": LINE_DEDUP}
+BAG_SEARCH = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM lengths),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(all_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term
+),
+measures AS (SELECT doc_id, 100 - 90 + (90 * n * all_docs) // all_terms AS m FROM lengths, totals),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN measures USING (doc_id) GROUP BY item_id, doc_id
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL = {
+    "op1_vector_approximation": VECTOR_APPROXIMATION,
+    "op5_poisson_mix": POISSON_MIX,
+    "op9_quality_rules": QUALITY_RULES,
+    "op11_line_dedup": LINE_DEDUP,
+    "op12_bag_search": BAG_SEARCH,
+}

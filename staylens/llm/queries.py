@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import bestfit, lines, mixing, repeats, rules, shards, simhash, tiers, tokens, toxicity, vafile, warc
+from staylens.llm import bestfit, lexical, lines, mixing, repeats, rules, shards, simhash, tiers, tokens, toxicity, vafile, warc
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -90,6 +90,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op12_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_approximation": op1_vector_approximation,
     "op2_tier_packing": op2_tier_packing,
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
     "op11_line_dedup": op11_line_dedup,
+    "op12_bag_search": op12_bag_search,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
