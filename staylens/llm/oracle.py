@@ -130,10 +130,83 @@ ranked AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+TURN_REPAIR = r"""
+WITH RECURSIVE source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+  FROM conversations
+),
+ruled AS (
+  SELECT conv_id, turn, role, text,
+    xor(list_reduce(bytes, lambda crc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)), 4294967295), 4294967295) % 20 AS rule
+  FROM source
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN rule = 4 THEN 'user' ELSE role END AS role,
+    CASE rule WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN rule = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM ruled WHERE rule <> 0
+),
+placed AS (
+  SELECT *, substr(role, 1, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged
+),
+judged AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut,
+    coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial, 'su') AS pair
+  FROM placed
+),
+faults AS (
+  SELECT conv_id, i, role, text, initial, pair, turn, blank, again AND NOT blank AS duplicate, cut AND NOT again AND NOT blank AS truncated FROM judged
+),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id
+),
+inserts(p, r, made) AS (
+  VALUES (0, 0, []), (0, 2, ['user:']), (0, 3, ['user:', 'assistant:']), (1, 1, []), (1, 2, ['user:']), (1, 3, ['user:', 'assistant:']),
+    (2, 2, []), (2, 3, ['assistant:']), (3, 3, []), (3, 2, ['user:'])
+),
+kept(initial, r, q) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+edits AS (
+  SELECT conv_id, i, r, r AS q, 3 AS price, 'D' AS letter, CAST([] AS VARCHAR[]) AS line FROM faults, (VALUES (0), (1), (2), (3)) AS states(r)
+  UNION ALL
+  SELECT conv_id, i, r, q, CAST(truncated AS INTEGER), 'K', [role || ':' || text] FROM faults JOIN kept USING (initial) WHERE NOT blank AND NOT duplicate
+  UNION ALL
+  SELECT conv_id, i, r, q, 2 + CAST(truncated AS INTEGER), 'R', [name || ':' || text]
+  FROM faults, (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) AS given(r, q, name) WHERE NOT blank AND NOT duplicate
+),
+walked AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, {'cost': CAST(0 AS BIGINT), 'audit': '', 'made': CAST([] AS VARCHAR[])} AS best FROM figures
+  UNION ALL
+  SELECT w.conv_id, e.i, e.q AS state,
+    min({'cost': CAST(w.best.cost + 2 * len(inserts.made) + e.price AS BIGINT), 'audit': w.best.audit || repeat('I', len(inserts.made)) || e.letter,
+         'made': list_concat(list_concat(w.best.made, inserts.made), e.line)}) AS best
+  FROM walked w JOIN inserts ON inserts.p = w.state JOIN edits e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i + 1 AND e.r = inserts.r
+  GROUP BY w.conv_id, e.i, e.q
+),
+ended AS (
+  SELECT w.conv_id, min({'cost': CAST(best.cost + 2 * len(tail) AS BIGINT), 'audit': best.audit || repeat('I', len(tail)), 'made': list_concat(best.made, tail)}) AS best
+  FROM walked w JOIN figures f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.i
+    JOIN (VALUES (0, CAST([] AS VARCHAR[])), (1, ['user:', 'assistant:']), (2, ['assistant:']), (3, CAST([] AS VARCHAR[]))) AS tails(state, tail) USING (state)
+  GROUP BY w.conv_id
+)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(array_to_string(best.made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+  LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
 ORACLE_SQL = {
     "op1_vector_approximation": VECTOR_APPROXIMATION,
     "op5_poisson_mix": POISSON_MIX,
     "op9_quality_rules": QUALITY_RULES,
     "op11_line_dedup": LINE_DEDUP,
     "op12_bag_search": BAG_SEARCH,
+    "op13_turn_repair": TURN_REPAIR,
 }

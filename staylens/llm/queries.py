@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import bestfit, lexical, lines, mixing, repeats, rules, shards, simhash, tiers, tokens, toxicity, vafile, warc
+from staylens.llm import bestfit, lexical, lines, mixing, repeats, rules, shards, simhash, tiers, tokens, toxicity, turns, vafile, warc
 from staylens.llm.oracle import ORACLE_SQL
 
 
@@ -94,6 +94,13 @@ def op12_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    rows = turns.damaged(conversations)
+    edits = turns.edited(rows)
+    return turns.reports(conversations, edits, turns.repaired(rows, edits))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_approximation": op1_vector_approximation,
     "op2_tier_packing": op2_tier_packing,
@@ -107,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_line_dedup": op11_line_dedup,
     "op12_bag_search": op12_bag_search,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
