@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from struct import pack
 from typing import Any
 
 import pyarrow as pa
@@ -346,6 +347,7 @@ def repaired(rows: DataFrame, edits: DataFrame) -> DataFrame:
 
     `edits` comes from edited(rows). Inserted turns have an empty text. Of rows that repeat role and text
     at most the first is kept, so a text meets its row by their digest, and copies meet inside the tasks first.
+    Inserted turns go through the same join with marks of their own, which are shorter than any digest.
     """
     ddl, schema = _arrow(edits, "head bigint, place int, edit string, new_role string, mark binary")
 
@@ -357,15 +359,14 @@ def repaired(rows: DataFrame, edits: DataFrame) -> DataFrame:
                     for edit in word.replace(DELETE, ""):
                         state = NEXT[state]
                         role = None if edit == KEEP else ROLES[state]
-                        made.append((conv_id, head, len(made), edit, role, None if edit == INSERT else marks[16 * i : 16 * i + 16]))
+                        mark = pack(">qi", head, len(made)) if edit == INSERT else marks[16 * i : 16 * i + 16]
+                        made.append((conv_id, head, len(made), edit, role, mark))
                 yield _batch(made, schema)
 
     turns = edits.select("conv_id", "head", "states", "words", "ending", "marks").mapInArrow(of_batches, ddl)
     texts = _with_mark(rows).select("mark", "role", "text").dropDuplicates(["mark"])
-    kept = turns.filter(F.col("mark").isNotNull()).join(texts, "mark")
-    columns = ["conv_id", "head", "place", "edit"]
-    inserted = turns.filter(F.col("mark").isNull()).select(*columns, F.col("new_role").alias("role"), F.lit("").alias("text"))
-    return kept.select(*columns, F.coalesce("new_role", "role").alias("role"), "text").union(inserted)
+    role, text = F.coalesce("new_role", "role").alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    return turns.join(texts, "mark", "left").select("conv_id", "head", "place", "edit", role, text)
 
 
 REPORT = "gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string"
