@@ -40,7 +40,7 @@ class Session:
         self.src: SourceTables = star_sources(spark, sf_dir)
         # One plan per table and run, so that heavy keys and counts are looked up once.
         self.risk, self.log, self.events = cache(self.risk), cache(self.log), cache(self.events)
-        self.heavy_bookings = cache(self.heavy_bookings)
+        self.heavy_bookings, self.heavy_conversations = cache(self.heavy_bookings), cache(self.heavy_conversations)
 
     @cached_property
     def declared(self) -> SourceTables:
@@ -55,8 +55,15 @@ class Session:
         s = self.src
         return risk.booking_cancellation_risk(s.bookings, s.conversations, s.messages, **options)
 
-    def log(self, **options: object) -> DataFrame:
-        return messages.conversation_log(self.src.messages, self.src.conversations, **options)
+    def heavy_conversations(self, limit: int | None = None) -> dict:
+        return messages.heavy_conversations(self.src.messages, limit)
+
+    def log(self, limit: int | None = None) -> DataFrame:
+        return messages.conversation_log(self.src.messages, self.src.conversations, limit, self.heavy_conversations(limit))
+
+    def journeys(self, log: DataFrame | None = None) -> DataFrame:
+        folded = journeys.fold_in_chunks(self.heavy_conversations())
+        return journeys.conversation_journeys(self.log() if log is None else log, folded)
 
     def events(self, limit: int | None = None) -> DataFrame:
         s = self.src
@@ -65,7 +72,7 @@ class Session:
 
     def events_from_stored_journeys(self) -> DataFrame:
         s = self.src
-        stored = pin(journeys.conversation_journeys(self.log()))
+        stored = pin(self.journeys())
         return loss.loss_events(loss.in_trailing_window(stored), s.bookings, s.users)
 
     def at_risk(self) -> DataFrame:
@@ -89,7 +96,7 @@ class Session:
 
     def stored_intermediate(self) -> dict[str, DataFrame]:
         built = {"booking_cancellation_risk": pin(self.risk()), "conversation_log": pin(self.log())}
-        built["conversation_journeys"] = pin(journeys.conversation_journeys(built["conversation_log"]))
+        built["conversation_journeys"] = pin(self.journeys(built["conversation_log"]))
         at_risk = pin(risk.at_risk_conversations(built["booking_cancellation_risk"], self.src.conversations))
         return {**built, "at_risk_conversations": at_risk, "at_risk_concerns": risk.at_risk_concerns(at_risk)}
 
@@ -232,7 +239,7 @@ PLANS: dict[str, Callable[[Session], DataFrame]] = {
     "booking_cancellation_risk_split": lambda s: s.risk(limit=250),
     "conversation_log": lambda s: s.log(),
     "conversation_log_split": lambda s: s.log(limit=4),
-    "conversation_journeys": lambda s: journeys.conversation_journeys(s.log()),
+    "conversation_journeys": lambda s: s.journeys(),
     "conversation_journeys_chunked": lambda s: journeys.conversation_journeys(s.log(), chunk_messages=2),
     "journey_parts": lambda s: journeys.journey_parts(s.log(), chunk_messages=3),
     "at_risk_conversations": lambda s: s.at_risk(),
@@ -249,7 +256,7 @@ PLANS: dict[str, Callable[[Session], DataFrame]] = {
     "unanswered_opening_monthly": lambda s: loss.unanswered_opening_monthly(s.events()),
     # Data quality
     "check_between": lambda s: quality.between(s.src.messages, "sentiment_score", -0.5, 0.5).select("message_id", "sentiment_score"),
-    "check_non_negative": lambda s: quality.non_negative(journeys.conversation_journeys(s.log()), "sentiment_delta").select("conversation_id", "sentiment_delta"),
+    "check_non_negative": lambda s: quality.non_negative(s.journeys(), "sentiment_delta").select("conversation_id", "sentiment_delta"),
     "check_not_null": lambda s: quality.not_null(s.src.conversations, "csat_score").select("conversation_id", "booking_id", "csat_score"),
     "check_accepted_values": lambda s: quality.accepted_values(s.src.messages, "sender_type", ["guest", "host"]).select("message_id", "sender_type"),
     "check_not_constant": lambda s: quality.not_constant(s.src.properties, "country"),

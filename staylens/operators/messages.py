@@ -40,6 +40,11 @@ def event_label() -> Column:
     return F.concat(turn, F.when(is_delayed(), F.lit("_delayed")).otherwise(F.lit("")))
 
 
+def heavy_conversations(messages: DataFrame, limit: int | None = None) -> dict:
+    """Conversations with too many messages for one task, with their number of messages."""
+    return heavy_keys(messages.filter(F.col("conversation_id").isNotNull()), "conversation_id", limit=limit)["conversation_id"]
+
+
 def conversation_log(
     messages: DataFrame, conversations: DataFrame, limit: int | None = None, heavy: dict | None = None
 ) -> DataFrame:
@@ -61,7 +66,7 @@ def conversation_log(
         "csat_score",
     )
     if heavy is None:
-        heavy = heavy_keys(messages, "conversation_id", limit=limit)["conversation_id"]
+        heavy = heavy_conversations(messages, limit)
     scanned = ordered_scan(
         messages.select(
             "message_id",

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 from typing import TypeVar
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,22 +54,35 @@ def build_risk(src: SourceTables, root: str, limit: int | None = None) -> dict[s
 
 
 def build_journeys(src: SourceTables, root: str, limit: int | None = None) -> dict[str, DataFrame]:
+    """The log and what is folded from it.
+
+    The laid-out log is kept on the executors' disks while it is folded, so the messages are shuffled
+    and sorted once for all three tables. Parts that go with a lost executor are computed again.
+    """
     root = f"{root.rstrip('/')}/intermediate"
-    log = messages.conversation_log(src.messages, src.conversations, limit=limit)
-    log = write_table(log, root, "conversation_log")
-    folds = {"conversation_journeys": journeys.conversation_journeys, "journey_parts": journeys.journey_parts}
+    heavy = messages.heavy_conversations(src.messages, limit)
+    log = messages.conversation_log(src.messages, src.conversations, limit=limit, heavy=heavy)
+    log = log.persist(StorageLevel.DISK_ONLY)
+    folds = {
+        "conversation_journeys": partial(journeys.conversation_journeys, chunk_messages=journeys.fold_in_chunks(heavy)),
+        "journey_parts": journeys.journey_parts,
+    }
 
     def write(name: str) -> DataFrame:
         return write_table(folds[name](log), root, name)
 
-    return {"conversation_log": log} | together(log.sparkSession, {name: partial(write, name) for name in folds})
+    try:
+        written = write_table(log, root, "conversation_log")
+        return {"conversation_log": written} | together(log.sparkSession, {name: partial(write, name) for name in folds})
+    finally:
+        log.unpersist()
 
 
 def build_marts(
-    src: SourceTables, stored_journeys: DataFrame, root: str, limit: int | None = None
+    src: SourceTables, stored_journeys: DataFrame, root: str, heavy: dict[str, dict], limit: int | None = None
 ) -> dict[str, DataFrame]:
+    """`heavy` is what heavy_parties found in the conversations."""
     root = f"{root.rstrip('/')}/marts"
-    heavy = loss.heavy_parties(src.conversations, limit=limit)
     events = loss.loss_events(loss.in_trailing_window(stored_journeys), src.bookings, src.users, heavy, limit)
     events = write_table(events, root, "loss_events", partition_by="activity_month")
     marts = {
@@ -87,16 +100,20 @@ def build_marts(
 
 
 def build_tables(src: SourceTables, root: str, limit: int | None = None) -> dict[str, DataFrame]:
-    """Write all intermediate and mart tables. Risk and loss need nothing from each other."""
-
-    def loss_tables() -> dict[str, DataFrame]:
-        built = build_journeys(src, root, limit)
-        return built | build_marts(src, built["conversation_journeys"], root, limit)
+    """Write all intermediate and mart tables. The marts wait for the journeys, and nothing for the risk."""
 
     src.named()  # open the sources once, before the threads share them
-    chains = {"risk": partial(build_risk, src, root, limit), "loss": loss_tables}
-    built = together(src.bookings.sparkSession, chains)
-    return built["risk"] | built["loss"]
+    chains = {
+        "risk": partial(build_risk, src, root, limit),
+        "journeys": partial(build_journeys, src, root, limit),
+        "heavy": partial(loss.heavy_parties, src.conversations, limit),
+    }
+    with ThreadPoolExecutor(max_workers=len(chains)) as pool:
+        thread = inheritable_thread_target(src.bookings.sparkSession)
+        running = {name: pool.submit(thread(job)) for name, job in chains.items()}
+        folded, heavy = running["journeys"].result(), running["heavy"].result()
+        marts = build_marts(src, folded["conversation_journeys"], root, heavy, limit)
+        return running["risk"].result() | folded | marts
 
 
 def register_layer_views(built: dict[str, DataFrame]) -> list[str]:

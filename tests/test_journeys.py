@@ -3,9 +3,9 @@ from datetime import datetime, timedelta
 import frames as f
 from pyspark.sql import functions as F
 
-from staylens.operators.journeys import ARROW, conversation_journeys, journey_parts, recent_journeys
+from staylens.operators.journeys import ARROW, CHUNK_MESSAGES, conversation_journeys, fold_in_chunks, journey_parts, recent_journeys
 from staylens.operators.loss import in_trailing_window
-from staylens.operators.messages import conversation_log
+from staylens.operators.messages import conversation_log, heavy_conversations
 
 
 def journeys_of(spark, *talks, threads=None, **options):
@@ -43,6 +43,26 @@ def test_null_labels_are_skipped_but_counted(spark):
     assert row.event_journey == "opened_by_guest -> host_reply" and row.conversation_message_count == 3
 
 
+def test_whole_and_chunked_folds_agree(spark):
+    talks = [f.talk(c, *[(("guest", "host", "support_agent", "robot")[(c + i) % 4], 700 * i, 0.3 * ((c * i) % 5) - 0.6) for i in range(c)]) for c in range(1, 9)]
+    talked = f.messages(spark, *talks)
+    # Conversations whose labels are all missing.
+    talked = talked.withColumn("sentiment_label", F.when(F.col("conversation_id") > 2, F.col("sentiment_label")))
+    talked = talked.withColumn("sender_type", F.when(F.col("conversation_id") != 4, F.col("sender_type")))
+    log = conversation_log(talked, f.conversations(spark, *[f.conversation(c) for c in range(1, 9)]))
+    columns = sorted(conversation_journeys(log).columns)
+    whole, *chunked = [sorted(map(str, conversation_journeys(log, n).select(*columns).collect())) for n in (None, 100, 3, 1)]
+    assert len(whole) == 8 and all(c == whole for c in chunked)
+    rows = {r.conversation_id: r for r in conversation_journeys(log, None).collect()}
+    assert rows[1].sentiment_label_journey is None and rows[4].event_journey is None and rows[3].sentiment_label_journey
+
+
+def test_chunks_only_where_a_conversation_is_heavy(spark):
+    talked = f.messages(spark, f.talk(1, *[("guest", i, 0.0) for i in range(9)]), f.talk(2, ("guest", 0, 0.0)))
+    assert fold_in_chunks(heavy_conversations(talked, limit=5)) == CHUNK_MESSAGES
+    assert fold_in_chunks(heavy_conversations(talked, limit=10)) is None
+
+
 def test_unanswered_flag_equals_the_journey_text(spark):
     talks = [
         f.talk(1, ("guest", 0, 0.0)),

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark import StorageLevel
 
 from staylens.operators import journeys, loss, messages, risk
 from staylens.sources.tpch import star_sources
@@ -36,10 +37,21 @@ def test_one_shuffle_of_messages_from_log_to_journeys(src):
     assert "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("chunk_messages", [None, 100])
+def test_folding_a_kept_log_moves_nothing(src, chunk_messages):
+    log = messages.conversation_log(src.messages, src.conversations, heavy={}).persist(StorageLevel.DISK_ONLY)
+    try:
+        plan = plan_of(journeys.conversation_journeys(log, chunk_messages))
+        above = plan[: plan.index("InMemoryRelation")]
+        assert exchanges(above) == [] and above.count("ObjectHashAggregate(") == (2 if chunk_messages is None else 4), plan
+    finally:
+        log.unpersist()
+
+
 def test_marts_read_only_what_they_need(src):
     recent = journeys.recent_journeys(src.messages, src.conversations)
     plan = plan_of(loss.loss_by_stage(loss.loss_events(recent, src.bookings, src.users)))
-    assert "listagg" not in plan and "text" not in plan
+    assert "listagg" not in plan and "collect_list" not in plan and "text" not in plan
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert scans and not any("l_tax" in s or "c_name" in s or "l_returnflag" in s for s in scans)
 
