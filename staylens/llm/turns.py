@@ -44,6 +44,7 @@ MUST_GO = 0
 INITIALS = "sua"
 NEVER = 1 << 50
 CHUNK_ROWS = 1 << 16
+BATCH_ROWS = 10_000
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -353,15 +354,20 @@ def repaired(rows: DataFrame, edits: DataFrame) -> DataFrame:
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            made: list[tuple] = []
             for conv_id, head, states, words, ending, marks in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                made: list[tuple] = []
+                place = 0
                 for i, (state, word) in enumerate(zip(states, [*words, ending], strict=True)):
                     for edit in word.replace(DELETE, ""):
                         state = NEXT[state]
                         role = None if edit == KEEP else ROLES[state]
-                        mark = pack(">qi", head, len(made)) if edit == INSERT else marks[16 * i : 16 * i + 16]
-                        made.append((conv_id, head, len(made), edit, role, mark))
-                yield _batch(made, schema)
+                        mark = pack(">qi", head, place) if edit == INSERT else marks[16 * i : 16 * i + 16]
+                        made.append((conv_id, head, place, edit, role, mark))
+                        place += 1
+                if len(made) >= BATCH_ROWS:
+                    yield _batch(made, schema)
+                    made = []
+            yield _batch(made, schema)
 
     turns = edits.select("conv_id", "head", "states", "words", "ending", "marks").mapInArrow(of_batches, ddl)
     texts = _with_mark(rows).select("mark", "role", "text").dropDuplicates(["mark"])
