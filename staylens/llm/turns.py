@@ -43,6 +43,9 @@ LEGAL = {"su", "ua", "au"}
 MUST_GO = 0
 INITIALS = "sua"
 NEVER = 1 << 50
+# Any state can take the way of any other one for two insertions and a deletion at most, counting what ends the
+# conversation. One that costs more than that above the cheapest is on no cheapest way.
+DOMINATED = 2 * COST[INSERT] + COST[DELETE] + 1
 CHUNK_ROWS = 1 << 16
 BATCH_ROWS = 10_000
 WHITE = " \t\n\x0b\x0c\r"
@@ -56,12 +59,33 @@ def row_code(initial: str, must_go: bool, truncated: bool) -> int:
 
 
 class Step:
-    """From each state to each other: the cost, and the rank of the spelling among those from the same state."""
+    """From each state to each other: the cost, and the rank of the spelling among those from the same state.
+
+    Vectors are carried relative to their least cost. Few of them occur, so each step keeps what it made of those it met.
+    """
 
     def __init__(self, costs: Sequence[Sequence[int]], ranks: Sequence[Sequence[int]]) -> None:
         self.costs, self.ranks = costs, ranks
         # Cost, rank before and rank here in one number, which is least for the cheapest and then least-spelled way.
         self.into = [[(p, (costs[p][q] << 4) + ranks[p][q]) for p in STATES if costs[p][q] < NEVER] for q in STATES]
+        self.onward_known: dict[tuple, tuple] = {}
+        self.back_known: dict[tuple, tuple] = {}
+
+    def onward(self, vector: tuple) -> tuple:
+        """What the least cost grows by, and costs and ranks after this step for those before it."""
+        costs, ranks = vector
+        before = [(c << 4) + (r << 2) for c, r in zip(costs, ranks, strict=True)]
+        best = [min([before[p] + way for p, way in into if costs[p] < NEVER], default=None) for into in self.into]
+        least = min(b >> 4 for b in best if b is not None)
+        best = [b if b is not None and (b >> 4) - least <= DOMINATED else None for b in best]
+        after = tuple(NEVER if b is None else (b >> 4) - least for b in best)
+        return least, (after, tuple(_ranked([None if b is None else b & 15 for b in best])))
+
+    def back(self, costs: tuple) -> tuple:
+        """What the least cost grows by, and the costs of going on from before this step for those after it."""
+        before = [min(NEVER, *(a + b for a, b in zip(ways, costs, strict=True))) for ways in self.costs]
+        least = min(before)
+        return least, tuple(c - least if c < NEVER else NEVER for c in before)
 
 
 def row_ways(code: int) -> list[dict[int, tuple[int, str]]]:
@@ -99,25 +123,32 @@ ROWS = [
 ]
 
 
-def forward(steps: Sequence[Step], low: int, high: int, start: int) -> tuple[list[int], list[int]]:
+def forward(steps: Sequence[Step], low: int, high: int, start: int) -> tuple[list[int], tuple[int, ...]]:
     """After steps low to high - 1: for each state the least cost from `start`, and the rank of the least spelling of that cost."""
-    costs, ranks = [NEVER] * 4, [0] * 4
-    costs[start] = 0
+    total, vector = 0, (_only(start), (0,) * 4)
     for i in range(low, high):
-        before = [(c << 4) + (r << 2) for c, r in zip(costs, ranks, strict=True)]
-        best = [min([before[p] + way for p, way in into if costs[p] < NEVER], default=None) for into in steps[i].into]
-        costs = [NEVER if b is None else b >> 4 for b in best]
-        ranks = _ranked([None if b is None else b & 15 for b in best])
-    return costs, ranks
+        step = steps[i]
+        found = step.onward_known.get(vector)
+        if found is None:
+            found = step.onward_known[vector] = step.onward(vector)
+        total, vector = total + found[0], found[1]
+    return [min(NEVER, total + c) for c in vector[0]], vector[1]
 
 
 def backward(steps: Sequence[Step], low: int, high: int, end: int) -> list[int]:
     """For each state the least cost from there, before step `low`, to `end` after step high - 1."""
-    costs = [NEVER] * 4
-    costs[end] = 0
+    total, costs = 0, _only(end)
     for i in range(high - 1, low - 1, -1):
-        costs = [min(NEVER, *(a + b for a, b in zip(step, costs, strict=True))) for step in steps[i].costs]
-    return costs
+        step = steps[i]
+        found = step.back_known.get(costs)
+        if found is None:
+            found = step.back_known[costs] = step.back(costs)
+        total, costs = total + found[0], found[1]
+    return [min(NEVER, total + c) for c in costs]
+
+
+def _only(state: int) -> tuple[int, ...]:
+    return tuple(0 if s == state else NEVER for s in STATES)
 
 
 def crossings(steps: Sequence[Step], start: int, end: int) -> list[int]:
