@@ -1,5 +1,7 @@
 """The same results as SQL for DuckDB, where SQL can express them."""
 
+from staylens.llm.oracle_simhash import simhash_sql
+
 QUALITY_RULES = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -202,10 +204,51 @@ FROM (SELECT DISTINCT conv_id FROM conversations) ids
   LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id
 """
 
+SUFFIX_DEDUP = """
+WITH whole AS (SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents),
+starts AS (
+  SELECT doc_id, i, data[i + 1:i + 200] AS piece
+  FROM (SELECT doc_id, data, unnest(range(CAST(octet_length(data) AS BIGINT) - 199)) AS i FROM whole)
+),
+again AS (SELECT piece FROM starts GROUP BY piece HAVING count(*) > 1),
+covering AS (
+  SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 AS goes_on FROM starts SEMI JOIN again USING (piece)
+),
+numbered AS (SELECT doc_id, i, count(*) FILTER (goes_on IS NOT TRUE) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM covering),
+spans AS (SELECT doc_id, min(i) AS start, max(i) + 200 AS stop FROM numbered GROUP BY doc_id, span),
+cuts AS (
+  SELECT doc_id, start, stop, lag(stop, 1, 0) OVER (PARTITION BY doc_id ORDER BY start) AS since FROM spans
+  UNION ALL
+  SELECT doc_id, octet_length(data), NULL, coalesce((SELECT max(stop) FROM spans WHERE spans.doc_id = whole.doc_id), 0) FROM whole
+),
+kept AS (
+  SELECT doc_id, sum(stop - start) AS n_removed, count(stop) AS n_spans,
+    string_agg(CASE WHEN since < start THEN hex(data[since + 1:start]) ELSE '' END, '' ORDER BY start, stop NULLS LAST) AS digits
+  FROM cuts JOIN whole USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(octet_length(data) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, n_spans,
+  sha256(unhex(digits)) AS kept_sha256
+FROM whole JOIN kept USING (doc_id)
+"""
+
+WARC = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+judged AS (SELECT page_id, payload, sha1(payload) AS digits, min(page_id) OVER (PARTITION BY payload) AS first_id FROM payloads)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(digits, i // 4 * 5 + 1, 5) AS INTEGER) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM judged
+"""
+
 ORACLE_SQL = {
     "op1_vector_approximation": VECTOR_APPROXIMATION,
     "op5_poisson_mix": POISSON_MIX,
+    "op6_suffix_dedup": SUFFIX_DEDUP,
+    "op7_warc": WARC,
     "op9_quality_rules": QUALITY_RULES,
+    "op10_simhash": simhash_sql(seed=42, shingle=3, max_bits=2),
     "op11_line_dedup": LINE_DEDUP,
     "op12_bag_search": BAG_SEARCH,
     "op13_turn_repair": TURN_REPAIR,
