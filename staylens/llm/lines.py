@@ -159,10 +159,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     # A copy of a row may say the same in another task, so places are a set; there are no more than lines in the text.
     gone = repeated_lines(docs, min_chars).groupBy(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key")).agg(F.collect_set("place").alias("_gone"))
     own = [docs[c] for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "keep")]
-    rows = docs.select(_doc_id(docs).alias("_own_doc"), _row_key(docs).alias("_own_key"), _text(docs).alias("_text"), F.struct(*own).alias("_row"))
-    n_lines = (F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+    # Lines are counted below the join, so that a text goes through it once.
+    n_lines = (F.octet_length(_text(docs)) - F.octet_length(F.replace(_text(docs), F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+    rows = docs.select(_doc_id(docs).alias("_own_doc"), _row_key(docs).alias("_own_key"), n_lines.alias("n_lines"), F.struct(*own).alias("_row"))
     joined = rows.join(gone, (F.col("_own_key") == F.col("_key")) & F.col("_own_doc").eqNullSafe(F.col("_doc")), "left")
-    counted = joined.select("_row", n_lines.alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"), "_gone")
+    counted = joined.select("_row", "n_lines", F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"), "_gone")
     return counted.select("_row.*", "n_lines", "n_dropped", _bitmap("n_lines", "_gone").alias("keep"))
 
 
