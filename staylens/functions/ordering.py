@@ -4,7 +4,8 @@ A group with more rows than one task should sort is cut into segments along its
 window then runs per segment, and a small summary of the segments (count, last row) supplies what a
 row needs from the segments before it. Cut points are a sample of the values, chosen by a hash of the
 row's key: their number grows with the group, and they decide only how even the segments are, never
-the result.
+the result. A group of so many segments that its cut points would weigh on every row is sorted into
+ranges over the tasks and cut by the place of its rows.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions.pin import pin
-from staylens.functions.skew import key_table, rows_per_task
+from staylens.functions.skew import Heavy, heavy_table, rows_per_task, ways
 
 # Expected cut points per `limit` rows.
 CUTS_PER_TASK = 2
+# A group of more limits than this is cut by ranges.
+LIMITS_CUT_BY_POINTS = 100
 SEGMENT_STRIDE = 2**31
 
 
@@ -58,20 +61,58 @@ def _slot(x: Column) -> Column:
     return F.when(x.isNotNull(), below.cast("bigint") * 2 + hit.cast("int"))
 
 
-def _with_segments(df: DataFrame, group: str, order: Sequence[str], heavy: dict, limit: int) -> DataFrame:
+def _with_segments(df: DataFrame, group: str, order: Sequence[str], heavy: Heavy, limit: int) -> DataFrame:
     """Add `_seg`: 0 for light groups, else a positive number that rises along the sort order of the group."""
+    most = limit * LIMITS_CUT_BY_POINTS
+    if isinstance(heavy, DataFrame):
+        large: Heavy = heavy.filter(F.col("count") > most)
+        rows = large.agg(F.sum("count")).first()[0]
+        cut: Heavy = heavy.filter(F.col("count") <= most)
+    else:
+        large = {k: n for k, n in heavy.items() if n > most}
+        rows = sum(large.values())
+        cut = {k: n for k, n in heavy.items() if n <= most}
+    if not rows:
+        return _cut_by_points(df, group, order, cut, limit)
+    keys = heavy_table(df, group, large)
+    ranged = _cut_by_ranges(df.join(keys, group, "left_semi"), group, order, rows, limit)
+    return ranged.unionByName(_cut_by_points(df.join(keys, group, "left_anti"), group, order, cut, limit))
+
+
+def _cut_by_ranges(df: DataFrame, group: str, order: Sequence[str], rows: int, limit: int) -> DataFrame:
+    """Rows sorted over the tasks by group and order; a segment is a run of `limit` / CUTS_PER_TASK of them."""
+    along = [F.col(group), F.col(order[0]).asc_nulls_last(), F.col(order[1])]
+    segment = max(1, limit // CUTS_PER_TASK)
+    # Ids rise with the range and inside it.
+    place = F.expr(f"monotonically_increasing_id() div {segment} + 1")
+    ranged = df.repartitionByRange(_ranges(df, rows, limit), *along).sortWithinPartitions(*along)
+    return pin(ranged.withColumn("_seg", place))
+
+
+def _ranges(df: DataFrame, rows: int, limit: int) -> int:
+    """How many ranges to sort: by the limit, but no more tasks than the session deals in or the rows need."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ways(rows, rows_per_task(spark)))
+    return min(CUTS_PER_TASK * ways(rows, limit), tasks)
+
+
+def _cut_by_points(df: DataFrame, group: str, order: Sequence[str], heavy: Heavy, limit: int) -> DataFrame:
+    if not heavy:
+        return df.withColumn("_seg", F.lit(0).cast("bigint"))
     value, tiebreak = order
-    keys = key_table(df, group, list(heavy)).withColumn("_heavy", F.lit(True))
+    keys = heavy_table(df, group, heavy).select(group, F.lit(True).alias("_heavy"))
+    # Layouts of a few groups go to every task. Those of many are joined by group, which is no hot key here.
+    small = F.broadcast if isinstance(heavy, dict) else lambda layout: layout
     # Only the heavy rows, and of them two columns, are read again for the layout.
-    hot = pin(df.select(group, value, tiebreak).join(F.broadcast(keys), group).drop("_heavy"))
+    hot = pin(df.select(group, value, tiebreak).join(small(keys), group, "left_semi"))
     cuts = pin(_cut_points(hot, [group], value, F.struct(F.col(group), F.col(tiebreak)), limit))
     last = F.lit(2**30 + 1)
 
     def add_slot(rows: DataFrame) -> DataFrame:
         slot = F.when(F.col("_heavy"), F.coalesce(_slot(F.col(value)), last) + 2).otherwise(F.lit(0))
         return (
-            rows.join(F.broadcast(keys), group, "left")
-            .join(F.broadcast(cuts), group, "left")
+            rows.join(small(keys), group, "left")
+            .join(small(cuts), group, "left")
             .withColumn("_slot", slot.cast("bigint"))
             .drop("ends", "blocks", "_heavy")
         )
@@ -79,11 +120,11 @@ def _with_segments(df: DataFrame, group: str, order: Sequence[str], heavy: dict,
     # A slot of equal values can still be heavy: cut it again along the tie-break column.
     placed = add_slot(hot)
     tied = placed.groupBy(group, "_slot").count().filter((F.col("count") > limit) & (F.col("_slot") % 2 == 1)).drop("count")
-    tied_rows = placed.join(F.broadcast(tied), [group, "_slot"], "left_semi")
+    tied_rows = placed.join(small(tied), [group, "_slot"], "left_semi")
     again = F.struct(F.col(group), F.col(tiebreak), F.lit("again"))
     tie_cuts = pin(_cut_points(tied_rows, [group, "_slot"], tiebreak, again, limit))
     below, _ = _cuts_below(F.col(tiebreak))
-    out = add_slot(df).join(F.broadcast(tie_cuts), [group, "_slot"], "left").withColumn("_part", below).drop("ends", "blocks")
+    out = add_slot(df).join(small(tie_cuts), [group, "_slot"], "left").withColumn("_part", below).drop("ends", "blocks")
     return out.withColumn("_seg", F.col("_slot") * SEGMENT_STRIDE + F.col("_part")).drop("_slot", "_part")
 
 
@@ -91,7 +132,7 @@ def ordered_scan(
     df: DataFrame,
     group: str,
     order: Sequence[str],
-    heavy: dict,
+    heavy: Heavy,
     lags: Sequence[str] = (),
     limit: int | None = None,
     dims: DataFrame | None = None,
@@ -100,7 +141,7 @@ def ordered_scan(
 
     Adds `position` (1-based), `group_rows` and `prev_<c>` for each column in `lags`. Nulls of the
     value sort last. `dims`, unique on `group`, is inner-joined on the same layout, so the window
-    and the join share one shuffle of the rows. `heavy` maps heavy group values to row counts.
+    and the join share one shuffle of the rows. `heavy` is what `heavy_keys` found of the groups.
     """
     sort = [F.col(order[0]).asc_nulls_last(), F.col(order[1])]
     if not heavy:
@@ -115,6 +156,8 @@ def ordered_scan(
         return out if dims is None else out.join(dims, group)
 
     limit = limit or rows_per_task(df.sparkSession)
+    # Many heavy groups, none of which is a hot key: a group stays together, and all its segments with it.
+    together = isinstance(heavy, DataFrame) and heavy.filter(F.col("count") > limit * LIMITS_CUT_BY_POINTS).isEmpty()
     df = _with_segments(df, group, order, heavy, limit)
     keys = [group, "_seg"]
     nulls_last = F.struct(F.col(order[0]).isNull(), F.col(order[0]), F.col(order[1]))
@@ -131,7 +174,9 @@ def ordered_scan(
         F.sum("_rows").over(Window.partitionBy(group)).alias("_total"),
         *[F.lag(f"_last_{c}").over(along).alias(f"_seam_{c}") for c in lags],
     )
-    if dims is not None:
+    if dims is not None and together:
+        df = df.join(dims, group)
+    elif dims is not None:
         copies = dims.join(seams.select(*keys), group, "left")
         copies = copies.withColumn("_seg", F.coalesce("_seg", F.lit(0).cast("bigint")))
         df = df.join(copies, keys)
@@ -142,7 +187,14 @@ def ordered_scan(
             **{f"prev_{c}": F.lag(c).over(w) for c in lags},
             "group_rows": F.count("*").over(Window.partitionBy(*keys)),
         }
-    ).join(seams, keys, "left")
+    )
+    if together:
+        found = F.struct(*[c for c in seams.columns if c not in keys])
+        listed = seams.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct("_seg", found))).alias("_seams"))
+        local = local.join(listed, group, "left").withColumn("_seam", F.col("_seams")[F.col("_seg")]).select("*", "_seam.*")
+        local = local.drop("_seams", "_seam")
+    else:
+        local = local.join(seams, keys, "left")
     return local.withColumns(
         {
             **{f"prev_{c}": F.when(F.col("position") == 1, F.col(f"_seam_{c}")).otherwise(F.col(f"prev_{c}")) for c in lags},

@@ -1,7 +1,8 @@
 """Finding keys that hold too many rows for one task, and joining on them without a hot task.
 
 The heavy keys only decide the layout of the work. Every result is exact whatever is found here.
-There are at most rows / limit heavy keys, so lists of them are no longer than the list of tasks.
+There are at most rows / limit heavy keys. A few are a dict on the driver; more than KEYS_LISTED, as a
+small limit finds them, stay a table on the executors.
 """
 
 from __future__ import annotations
@@ -12,10 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylens.functions.pin import pin
+
 ROWS_PER_TASK_CONF = "spark.staylens.rowsPerTask"
 ROWS_PER_TASK = 1_000_000
 SKETCH_KEYS = 10_000
 SKETCH_ENTRIES = 100_000
+KEYS_LISTED = 20_000
+# Heavy values with their row counts, or a pinned table of (value, count).
+Heavy = dict | DataFrame
 
 
 def rows_per_task(spark: SparkSession) -> int:
@@ -33,14 +39,22 @@ def key_table(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.sparkSession.createDataFrame([(v,) for v in values], schema)
 
 
-def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[str, dict]:
+def heavy_table(df: DataFrame, column: str, heavy: Heavy) -> DataFrame:
+    """The heavy values of `column` and their `_rows`. A listed few are broadcast; Spark decides about a table by its size."""
+    if isinstance(heavy, DataFrame):
+        return heavy.withColumnRenamed("count", "_rows")
+    schema = T.StructType([T.StructField(column, df.schema[column].dataType), T.StructField("_rows", T.LongType())])
+    return F.broadcast(df.sparkSession.createDataFrame(list(heavy.items()), schema))
+
+
+def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[str, Heavy]:
     """Per column, the values with more than `limit` rows, with their row counts.
 
     A table of at most `limit` rows has none. Otherwise one pass builds a frequent-items sketch per
     column inside the tasks, so nothing is shuffled by key. Its error is below 4 rows in
     SKETCH_ENTRIES; while that is under `limit`, it names every heavy key, and a second pass counts
     those exactly. On a table beyond the sketch's reach all keys are counted, combined before the
-    shuffle.
+    shuffle, and the heavy ones are listed only if they are few.
     """
     limit = limit or rows_per_task(df.sparkSession)
     rows = df.count()
@@ -54,7 +68,7 @@ def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[s
         if in_reach
         else None
     )
-    heavy: dict[str, dict] = {c: {} for c in columns}
+    heavy: dict[str, Heavy] = {c: {} for c in columns}
     for c in columns:
         named = df.filter(F.col(c).isNotNull())
         if top is not None:
@@ -62,6 +76,11 @@ def heavy_keys(df: DataFrame, *columns: str, limit: int | None = None) -> dict[s
                 continue
             named = df.join(F.broadcast(key_table(df, c, top[c])), c, "left_semi")
         counted = named.groupBy(c).count().filter(F.col("count") > limit)
+        if top is None:
+            counted = pin(counted)
+            if counted.count() > KEYS_LISTED:
+                heavy[c] = counted
+                continue
         heavy[c] = {r[c]: r["count"] for r in counted.collect()}
     return heavy
 
@@ -71,7 +90,7 @@ def salted_join(
     one: DataFrame,
     key: str,
     spread_by: Column,
-    heavy: dict,
+    heavy: Heavy,
     how: str = "inner",
     limit: int | None = None,
 ) -> DataFrame:
@@ -83,14 +102,11 @@ def salted_join(
     """
     if not heavy:
         return many.join(one, key, how)
-    spark = many.sparkSession
-    limit = limit or rows_per_task(spark)
-    salts = F.broadcast(
-        spark.createDataFrame(
-            [(k, ways(rows, limit)) for k, rows in heavy.items()],
-            T.StructType([T.StructField(key, many.schema[key].dataType), T.StructField("_salts", T.LongType())]),
-        )
-    )
+    limit = limit or rows_per_task(many.sparkSession)
+    if isinstance(heavy, DataFrame):
+        salts = heavy.select(key, F.greatest(F.lit(2), F.ceil(F.col("count") / limit)).cast("bigint").alias("_salts"))
+    else:
+        salts = heavy_table(many, key, {k: ways(rows, limit) for k, rows in heavy.items()}).withColumnRenamed("_rows", "_salts")
     n = F.coalesce("_salts", F.lit(1).cast("bigint"))
     many = many.join(salts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), n)).drop("_salts")
     one = one.join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))).drop("_salts")

@@ -75,3 +75,26 @@ def test_a_conversation_with_a_third_of_all_messages(spark, limit):
     assert "_seg" in split._jdf.queryExecution().toString()
     assert f.same(split, plain)
     assert plain.filter("conversation_id = 1").agg(F.max("message_seq")).first()[0] == 300
+
+
+@pytest.mark.parametrize("limit", [2, 4])
+def test_many_heavy_conversations_stay_off_the_driver(spark, monkeypatch, limit):
+    from pyspark.sql import DataFrame
+
+    from staylens.functions import ordering, skew
+    from staylens.operators.messages import heavy_conversations
+
+    # At 1 GB millions of conversations have more than four messages; a list of them all failed the driver.
+    monkeypatch.setattr(skew, "KEYS_LISTED", 10, raising=False)
+    monkeypatch.setattr(skew, "SKETCH_KEYS", 10)
+    senders = ["guest", "host", "bot", "support_agent"]
+    talks = [f.talk(c, *[(senders[(c + i) % 4], i // 3 * 500, 0.1 * i) for i in range(c % 9 + 1)]) for c in range(1, 202)]
+    hot = f.talk(300, *[(senders[i * 7 % 4], i // 3 * 400, 0.0) for i in range(300)])
+    threads = [f.conversation(c) for c in range(1, 301) if c % 10]
+    for said in (talks, [*talks, hot]):
+        heavy = heavy_conversations(f.messages(spark, *said), limit)
+        assert isinstance(heavy, DataFrame) and heavy.count() > 80
+        plain = log_of(spark, *said, threads=[*threads, f.conversation(300)])
+        for most in (100, 20):
+            monkeypatch.setattr(ordering, "LIMITS_CUT_BY_POINTS", most)
+            assert f.same(log_of(spark, *said, threads=[*threads, f.conversation(300)], limit=limit), plain)

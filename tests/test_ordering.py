@@ -146,6 +146,12 @@ def test_salted_join_equals_plain_join(spark, skewed):
         assert same(got, skewed.join(one, "g", how))
 
 
+def test_salted_join_on_a_table_of_heavy_keys(spark, skewed):
+    one = spark.range(0, 300).select(F.col("id").cast("int").alias("g"), (F.col("id") * 2).alias("v"))
+    heavy = skewed.groupBy("g").count().filter("count > 5")
+    assert same(salted_join(skewed, one, "g", F.col("id"), heavy, limit=5), skewed.join(one, "g"))
+
+
 def test_salts_follow_the_limit_of_the_caller(spark, skewed, monkeypatch):
     from staylens.functions import skew
 
