@@ -23,6 +23,8 @@ CUTS_PER_TASK = 2
 # A group of more limits than this is cut by ranges.
 LIMITS_CUT_BY_POINTS = 100
 SEGMENT_STRIDE = 2**31
+# The bits that monotonically_increasing_id has for the rows of one partition.
+RANGE_BITS = 33
 
 
 def _cut_points(rows: DataFrame, groups: list[str], value: str, drawn_by: Column, limit: int) -> DataFrame:
@@ -240,10 +242,11 @@ def percent_ranks(
 
     `ranks` maps each output column to (input column, descending). `key` is unique and not null, and
     `rows` is the exact row count. When it fits one task these are plain windows. Beyond that all
-    columns are ranked as one thin table of (column, value), counted per slot; a row adds its rank
-    inside its slot to the count of the slots before it. Rows equal to a cut point and null rows need
-    no window at all, so ties of any size stay spread. Both ways give the same ranks, also for NaN
-    (larger than all numbers) and for both zeros (equal).
+    columns are ranked as one thin table of (column, value, key), sorted into ranges; a row adds the
+    place of its value inside the range to the count of the ranges before it. A value that fills
+    several ranges takes its place from the first, so ties of any size stay spread; null rows need no
+    sort at all. Both ways give the same ranks, also for NaN (larger than all numbers) and for both
+    zeros (equal).
     """
     limit = limit or rows_per_task(df.sparkSession)
     if rows <= limit:
@@ -269,27 +272,44 @@ def _slot_ranks(wide: DataFrame, key: str, columns: dict[str, str], descending:
     """`key` and the percent rank of every column in one direction."""
     values = F.array(*[F.struct(F.lit(out).alias("_out"), F.col(c).cast("double").alias("_value")) for out, c in columns.items()])
     thin = wide.select(key, F.inline(values)).filter(F.col("_value").isNotNull())
-    cuts = pin(_cut_points(thin, ["_out"], "_value", F.struct(F.col(key), F.col("_out")), limit))
-    slotted = thin.join(F.broadcast(cuts), "_out", "left").withColumn("_slot", _slot(F.col("_value"))).drop("ends", "blocks")
-    # About as many slots as the rows need tasks.
-    along = Window.partitionBy("_out").orderBy(F.desc("_slot") if descending else F.asc("_slot"))
-    before = pin(
-        slotted.groupBy("_out", "_slot")
-        .count()
-        .select("_out", "_slot", (F.sum("count").over(along) - F.col("count")).alias("_before"))
+    # Equal values are told apart by the key, so that ties of any size spread over ranges.
+    along = [F.col("_out"), F.desc("_value") if descending else F.asc("_value"), F.col(key)]
+    cut = thin.repartitionByRange(_ranges(wide, rows * len(columns), limit), *along).sortWithinPartitions(*along)
+    # Ids rise with the range and inside it: the upper bits count ranges, the lower ones rows.
+    placed = pin(cut.withColumn("_at", F.monotonically_increasing_id()))
+    sliced = placed.withColumn("_slot", F.shiftright("_at", RANGE_BITS))
+    # One row per range and column.
+    ends = sliced.groupBy("_out", "_slot").agg(
+        F.count("*").alias("_rows"),
+        F.min("_at").alias("_from"),
+        F.min_by("_value", "_at").alias("_first"),
+        F.max_by("_value", "_at").alias("_last"),
     )
-    between = Window.partitionBy("_out", "_slot").orderBy(F.desc("_value") if descending else F.asc("_value"))
-    tied = F.col("_slot") % 2 == 1
-    placed = (
-        slotted.filter(~tied)
-        .withColumn("_inside", F.rank().over(between) - 1)
-        .unionByName(slotted.filter(tied).withColumn("_inside", F.lit(0)))
-        .join(F.broadcast(before), ["_out", "_slot"])
+    before = F.sum("_rows").over(Window.partitionBy("_out").orderBy("_slot")) - F.col("_rows")
+    slots = pin(ends.withColumn("_before", before))
+    # Where a value that stands at the end of a range begins there: only such values go on in the next one.
+    open_ended = sliced.join(F.broadcast(slots.select("_out", "_slot", "_from", "_before", "_last")), ["_out", "_slot"])
+    begun = (
+        open_ended.filter(F.col("_value") == F.col("_last"))
+        .groupBy("_out", "_value")
+        .agg(F.min(F.col("_before") + F.col("_at") - F.col("_from")).alias("_begun"))
+    )
+    carried = (
+        slots.select("_out", "_slot", "_from", "_before", F.col("_first").alias("_value"))
+        .join(begun, ["_out", "_value"], "left")
+        .withColumnRenamed("_value", "_first")
+    )
+    carried = pin(carried)
+    same = Window.partitionBy("_out", "_slot", "_value")
+    inside = F.min("_at").over(same) - F.col("_from") + F.col("_before")
+    ranked = (
+        sliced.join(F.broadcast(carried), ["_out", "_slot"])
+        .withColumn("_rank", F.when(F.col("_value") == F.col("_first"), F.least("_begun", inside)).otherwise(inside))
         .groupBy(key)
-        .agg(*[F.max(F.when(F.col("_out") == out, F.col("_before") + F.col("_inside"))).alias(out) for out in columns])
+        .agg(*[F.max(F.when(F.col("_out") == out, F.col("_rank"))).alias(out) for out in columns])
     )
     # Nulls rank behind all values, so at their number.
     counts = wide.agg(*[F.count(c).alias(out) for out, c in columns.items()]).first()
     steps = max(rows - 1, 1)
-    found = wide.select(key).join(placed, key, "left")
+    found = wide.select(key).join(ranked, key, "left")
     return found.select(key, *[(F.coalesce(out, F.lit(counts[out])).cast("double") / steps).alias(out) for out in columns])

@@ -126,6 +126,22 @@ def test_split_percent_ranks_of_nan_zeros_and_nulls(spark, limit):
     assert same(percent_ranks(df, "id", ranks, rows=400, limit=limit).drop("x"), want)
 
 
+def test_split_percent_ranks_of_ties_over_many_ranges(spark, monkeypatch):
+    from staylens.functions import ordering, skew
+
+    # Each row once carried all cut points, so the work grew with the square of the rows.
+    monkeypatch.setattr(ordering, "_cut_points", None)
+    rows = [(i, 7.0 if i % 2 else float("nan") if i % 12 == 0 else float(i % 40), None if i % 5 else i * 1.0) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id bigint, x double, y double").repartition(3)
+    ranks = {"up": ("x", False), "down": ("x", True), "other": ("y", False)}
+    want = percent_ranks(df, "id", ranks, rows=1200, limit=2000)
+    spark.conf.set(skew.ROWS_PER_TASK_CONF, "60")
+    try:
+        assert same(percent_ranks(df, "id", ranks, rows=1200, limit=20), want)
+    finally:
+        spark.conf.unset(skew.ROWS_PER_TASK_CONF)
+
+
 def test_percent_rank_of_one_row(spark):
     df = spark.createDataFrame([(1, 5.0)], "id int, x double")
     assert percent_ranks(df, "id", {"r": ("x", False)}, rows=1, limit=0).first()["r"] == 0.0
