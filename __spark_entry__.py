@@ -95,10 +95,21 @@ class Session:
         return pin(extracts.drill_down_selection(keys, self.risk(), heavy=self.heavy_bookings()))
 
     def stored_intermediate(self) -> dict[str, DataFrame]:
-        built = {"booking_cancellation_risk": pin(self.risk()), "conversation_log": pin(self.log())}
-        built["conversation_journeys"] = pin(self.journeys(built["conversation_log"]))
-        at_risk = pin(risk.at_risk_conversations(built["booking_cancellation_risk"], self.src.conversations))
-        return {**built, "at_risk_conversations": at_risk, "at_risk_concerns": risk.at_risk_concerns(at_risk)}
+        """The columns that the checks read. Journeys are folded where the log is laid out, not from a stored log."""
+        checks = contracts.intermediate_checks()
+
+        def stored(model: str, df: DataFrame, *more: str) -> DataFrame:
+            return pin(df.select(*dict.fromkeys([*contracts.columns_read(checks, model), *more])))
+
+        scores = stored("booking_cancellation_risk", self.risk(), "is_top_risk_decile")
+        at_risk = stored("at_risk_conversations", risk.at_risk_conversations(scores, self.src.conversations), "intent_category")
+        return {
+            "booking_cancellation_risk": scores,
+            "conversation_log": stored("conversation_log", self.log()),
+            "conversation_journeys": stored("conversation_journeys", self.journeys()),
+            "at_risk_conversations": at_risk,
+            "at_risk_concerns": risk.at_risk_concerns(at_risk),
+        }
 
     def stored_marts(self) -> dict[str, DataFrame]:
         events = pin(self.events())

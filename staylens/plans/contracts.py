@@ -46,6 +46,13 @@ def _adds_up(model: str, column: str, **others: object) -> Check:
     return Check("agg_matches", model, column, {"upstream": "loss_events", **others})
 
 
+def columns_read(checks: list[Check], model: str) -> list[str]:
+    """The columns of a model that simple checks read, in it or as the parent of others."""
+    read = [c for check in checks if check.model == model for c in (check.column, *check.args.get("columns", [])) if c]
+    read += [check.args["parent_column"] for check in checks if check.args.get("parent") == model]
+    return list(dict.fromkeys(read))
+
+
 def staging_checks() -> list[Check]:
     return [
         *_key("users", "user_id"),

@@ -132,3 +132,17 @@ def test_row_checks_of_a_table_share_one_scan(spark, tmp_path):
     ]
     plan = q.run_checks(checks, {"t": spark.read.parquet(path)})._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_intermediate_checks_store_only_what_they_read(spark):
+    import __spark_entry__ as registry
+    from staylens.plans import contracts
+
+    session = registry.Session(spark, registry.SMOKE_DIR)
+    stored = session.stored_intermediate()
+    assert set(stored["conversation_log"].columns) == {"message_id", "message_seq", "seconds_since_prev_message"}
+    assert "event_journey" not in stored["conversation_journeys"].columns
+    whole = {**stored, "conversation_log": session.log(), "conversation_journeys": session.journeys(), "booking_cancellation_risk": session.risk()}
+    checks = contracts.intermediate_checks()
+    found = q.run_checks(checks, stored)
+    assert found.count() == len(checks) and sorted(found.collect()) == sorted(q.run_checks(checks, whole).collect())
