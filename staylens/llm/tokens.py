@@ -13,10 +13,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 WORDS_KEPT = 500_000
 LONGEST_KEPT = 64
 GROUP = 256
+GROUP_BYTES = 4 << 20
 WORD_END = "</w>"
 MARKS = (b".", b",", b";", b":", b"!", b"?")
 
@@ -69,18 +72,37 @@ class ChunkTokenizer:
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text (UTF-8), in order."""
-        for at in range(0, len(texts), GROUP):
-            split = [t.lower().replace(b"\n", b" ").split(b" ") for t in texts[at : at + GROUP]]
+        if not texts:
+            return
+        # A chunk is looked up once in a group of texts, however often it comes.
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64) // GROUP_BYTES
+        firsts = np.flatnonzero(np.diff(ends, prepend=-1)).tolist()
+        for first, last in zip(firsts, [*firsts[1:], len(texts)], strict=True):
+            lowered = pa.array([t.lower().replace(b"\n", b" ") for t in texts[first:last]], pa.large_binary())
+            split = pc.split_pattern(lowered, " ")
+            coded = split.flatten().dictionary_encode()
+            chunks = coded.dictionary.to_pylist()
             if len(self.known) > WORDS_KEPT:
                 self.known = {b"": b""}
-            new = set().union(*split).difference(self.known)
+            found = list(map(self.known.get, chunks))
+            new = {chunks[i]: i for i, ids in enumerate(found) if ids is None}
             # Very long chunks are not kept.
             long = {c for c in new if len(c) > LONGEST_KEPT}
-            self._learn(new - long)
+            self._learn(new.keys() - long)
             rare = dict(zip(long, self._encode([*long]), strict=True))
-            look = self.known.__getitem__ if not rare else lambda c, rare=rare: rare[c] if c in rare else self.known[c]
-            for chunks in split:
-                yield b"".join(map(look, chunks))
+            for chunk, i in new.items():
+                found[i] = rare[chunk] if chunk in rare else self.known[chunk]
+            # The ids of the different chunks lie one after the other; each chunk of a text points to its own.
+            flat = np.frombuffer(b"".join(found), "<u4")
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            which = coded.indices.to_numpy()
+            lengths = sizes[which]
+            starts = np.concatenate([[0], np.cumsum(lengths)])
+            shift = (np.cumsum(sizes) - sizes)[which] - starts[:-1]
+            raw = flat[np.repeat(shift, lengths) + np.arange(starts[-1])].tobytes()
+            cuts = (4 * starts[split.offsets.to_numpy()]).tolist()
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                yield raw[start:end]
 
 
 @lru_cache(maxsize=2)
